@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.nulls import UNASSIGNED, is_assigned
 
@@ -16,18 +16,24 @@ CONFIG_THRESHOLDS = {"class": 70.0, "order": 80.0, "family": 90.0, "genus": 96.0
 
 
 def cascade(
-    values: Mapping[str, Column],
+    df: DataFrame,
     missing: Callable[[Column], Column],
     filler: Column,
     ranks: Sequence[str] = RANKS,
-) -> dict[str, Column]:
-    """Once a rank is missing, every finer rank of ``ranks`` becomes ``filler``."""
-    out = dict(values)
-    broken = F.lit(False)
-    for rank in ranks:
-        out[rank] = F.when(broken, filler).otherwise(values[rank])
-        broken = broken | missing(values[rank])
-    return out
+) -> DataFrame:
+    """Once a rank of ``df`` is missing, every finer rank of ``ranks`` becomes ``filler``.
+
+    The number of usable ranks is computed once per row and compared per rank, so the plan
+    grows linearly with the ranks.
+    """
+    depth = F.lit(len(ranks))
+    for i in reversed(range(len(ranks))):
+        depth = F.when(missing(F.col(f"`{ranks[i]}`")), F.lit(i)).otherwise(depth)
+    cut = {
+        r: F.when(F.col("_depth") < i, filler).otherwise(F.col(f"`{r}`"))
+        for i, r in enumerate(ranks)
+    }
+    return df.withColumn("_depth", depth).withColumns(cut).drop("_depth")
 
 
 def identity_cascade(
@@ -57,13 +63,11 @@ def rank_label(species: Column, genus: Column, family: Column) -> Column:
     )
 
 
-def taxon_label(rank: Column, col: Callable[[str], Column] = F.col) -> Column:
-    """Taxon name at the labelled rank; ``higher`` takes the finest rank above family."""
-    return (
-        F.when(rank == "species", col("species"))
-        .when(rank == "genus", col("genus"))
-        .when(rank == "family", col("family"))
-        .otherwise(F.coalesce(col("order"), col("class"), col("phylum"), col("kingdom")))
+def taxon_label(col: Callable[[str], Column] = F.col) -> Column:
+    """Taxon name at the rank :func:`rank_label` gives: a true species, else the finest rank above."""
+    species = col("species")
+    return F.when(species.isNotNull() & ~species.contains("/"), species).otherwise(
+        F.coalesce(*[col(r) for r in reversed(RANKS[:-1])])
     )
 
 

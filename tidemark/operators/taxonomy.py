@@ -127,11 +127,11 @@ def resolve_cascade(
     for rank in RANKS:
         clash = clash | F.coalesce(split[rank], F.lit(False))
     done = done.withColumn("_clash", clash)
-    merged = {
-        r: F.when(~F.coalesce(split[r], F.lit(False)), F.col("_head").getField(r)) for r in RANKS
-    }
-    merged = cascade(merged, lambda c: c.isNull(), F.lit(None).cast("string"))
-    out = {r: F.when(F.col("_clash"), merged[r]).otherwise(F.col("_top.ranks").getField(r)) for r in RANKS}
+    done = done.withColumns(
+        {r: F.when(~F.coalesce(split[r], F.lit(False)), F.col("_head").getField(r)) for r in RANKS}
+    )
+    done = cascade(done, lambda c: c.isNull(), F.lit(None).cast("string"))
+    out = {r: F.when(F.col("_clash"), _r(r)).otherwise(F.col("_top.ranks").getField(r)) for r in RANKS}
     return done.select(
         F.col("qseqid").alias("asv_id"),
         F.when(F.col("_clash"), F.col("_max_pid")).otherwise(F.col("_top.pident")).alias("pident"),
@@ -254,11 +254,10 @@ def link_taxonomy(
     right = taxonomy.select("sequence", pident.alias("pident"), *[_r(r) for r in present])
     joined = features.join(right, "sequence", "left")
     values = {r: taxon_or_label(_r(r)) if r in present else F.lit(UNASSIGNED) for r in RANKS}
-    joined = _with_ranks(joined, values)
     fallen = cascade(
-        {r: _r(r) for r in RANKS}, lambda c: c == UNASSIGNED, F.lit(UNASSIGNED), cascade_ranks
+        _with_ranks(joined, values), lambda c: c == UNASSIGNED, F.lit(UNASSIGNED), cascade_ranks
     )
-    return flag_contaminants(_with_ranks(joined, fallen), contaminants, parts=True)
+    return flag_contaminants(fallen, contaminants, parts=True)
 
 
 def duplicate_sequences(taxonomy: DataFrame) -> DataFrame:

@@ -347,9 +347,8 @@ _CASC = ", ".join(
 
 @query("p6_rank_cascade", ctes("taxa") + f" SELECT asv_id, {_CASC} FROM taxa")
 def _(spark, sf):
-    df = taxa(spark, sf)
-    out = cascade({r: F.col(f"`{r}`") for r in RANKS}, is_missing_taxon, F.lit("Unassigned"))
-    return df.select("asv_id", *[c.alias(r) for r, c in out.items()])
+    df = taxa(spark, sf).select("asv_id", *RANKS)
+    return cascade(df, is_missing_taxon, F.lit("Unassigned"))
 
 
 @query(
