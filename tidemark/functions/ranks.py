@@ -21,7 +21,7 @@ def cascade(
     filler: Column,
     ranks: Sequence[str] = RANKS,
 ) -> DataFrame:
-    """Once a rank of ``df`` is missing, every finer rank of ``ranks`` becomes ``filler``.
+    """From the first missing rank of ``df`` on, every rank of ``ranks`` is ``filler``.
 
     The number of usable ranks is computed once per row and compared per rank, so the plan
     grows linearly with the ranks.
@@ -30,7 +30,7 @@ def cascade(
     for i in reversed(range(len(ranks))):
         depth = F.when(missing(F.col(f"`{ranks[i]}`")), F.lit(i)).otherwise(depth)
     cut = {
-        r: F.when(F.col("_depth") < i, filler).otherwise(F.col(f"`{r}`"))
+        r: F.when(F.col("_depth") > i, F.col(f"`{r}`")).otherwise(filler)
         for i, r in enumerate(ranks)
     }
     return df.withColumn("_depth", depth).withColumns(cut).drop("_depth")

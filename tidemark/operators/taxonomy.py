@@ -253,10 +253,9 @@ def link_taxonomy(
     pident = F.col(pident_col).try_cast("double") if pident_col else F.lit(None).cast("double")
     right = taxonomy.select("sequence", pident.alias("pident"), *[_r(r) for r in present])
     joined = features.join(right, "sequence", "left")
-    values = {r: taxon_or_label(_r(r)) if r in present else F.lit(UNASSIGNED) for r in RANKS}
-    fallen = cascade(
-        _with_ranks(joined, values), lambda c: c == UNASSIGNED, F.lit(UNASSIGNED), cascade_ranks
-    )
+    blank = {r: F.lit(UNASSIGNED) for r in RANKS if r not in present}
+    fallen = cascade(_with_ranks(joined, blank), is_missing_taxon, F.lit(UNASSIGNED), cascade_ranks)
+    fallen = _with_ranks(fallen, {r: taxon_or_label(_r(r)) for r in RANKS if r not in cascade_ranks})
     return flag_contaminants(fallen, contaminants, parts=True)
 
 

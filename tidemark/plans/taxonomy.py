@@ -334,8 +334,7 @@ def _(spark, sf):
 
 _CASC = ", ".join(
     "CASE WHEN {gap} THEN 'Unassigned' ELSE {c} END AS {r}".format(
-        gap=" OR ".join(sql_miss(p) for p in ("kingdom", "phylum", "class_", "order_", "family", "genus", "species")[:i])
-        or "FALSE",
+        gap=" OR ".join(sql_miss(p) for p in ("kingdom", "phylum", "class_", "order_", "family", "genus", "species")[: i + 1]),
         c=c,
         r=q(r),
     )
