@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``(file, line_no, value)``: 0-based line numbers in file order.
+    """``(file, line_no, row_no, value)``: 0-based line numbers per file and over all files.
 
-    Lines are counted per file split; the few split sizes become offsets. No line moves
-    between tasks except for the join with that small table.
+    Lines are counted per file split; the split sizes, one row per split, become offsets. No
+    line moves between tasks except for the join with that small table.
     """
     raw = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -20,12 +20,13 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     splits = raw.groupBy("file", "_start").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first")
     )
-    before = Window.partitionBy("file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(
-        "file", "_start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
-    )
+    before = Window.orderBy("file", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    in_file = F.min("_off").over(Window.partitionBy("file"))
+    offsets = offsets.select("file", "_start", "_first", "_off", in_file.alias("_file_off"))
+    row_no = F.col("_off") + F.col("_mid") - F.col("_first")
     return raw.join(offsets, ["file", "_start"]).select(
-        "file", (F.col("_off") + F.col("_mid") - F.col("_first")).alias("line_no"), "value"
+        "file", (row_no - F.col("_file_off")).alias("line_no"), row_no.alias("row_no"), "value"
     )
 
 
