@@ -10,6 +10,7 @@ from tidemark.session import cut_lineage
 
 HOT_SHARES = 1000
 HOT_SALTS = 128
+HOT_ROWS = 100_000
 POSITION_BLOCK = 1_000_000
 
 
@@ -63,6 +64,19 @@ def rank_by_position(
     )
 
 
+def hot_keys(rows: DataFrame, keys: Sequence[str], shares: int = HOT_SHARES) -> DataFrame | None:
+    """Keys that hold more than ``1/shares`` of the rows, or None when there are none.
+
+    There are fewer than ``shares`` such keys whatever the data, so the list may go through
+    the driver and be broadcast. Counting is one map-side combined aggregation.
+    """
+    per_key = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = per_key.select(F.sum("_n")).scalar()
+    hot = per_key.where(F.col("_n") * F.lit(shares) > total).where(F.col("_n") > HOT_ROWS).select(*keys)
+    found = hot.collect()
+    return rows.sparkSession.createDataFrame(found, hot.schema) if found else None
+
+
 def lookup_join(
     rows: DataFrame,
     table: DataFrame,
@@ -74,23 +88,21 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``rows`` to a table that is unique per key, splitting the hot keys of ``rows``.
 
-    A key is hot when it holds more than ``1/shares`` of all rows, so there are fewer than
-    ``shares`` hot keys whatever the data: their list is small enough to broadcast. Hot rows
-    get a salt from ``spread`` and the matching table rows are repeated once per salt.
+    Without hot keys this is a plain join. Hot rows get a salt from ``spread`` and the matching
+    table rows, fewer than ``shares``, are repeated once per salt. ``rows`` is read twice, so
+    callers cut its lineage where it is expensive.
     """
     keys = list(keys)
-    per_key = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = per_key.select(F.sum("_n")).scalar()
-    hot = per_key.where(F.col("_n") * F.lit(shares) > total).select(*keys, F.lit(True).alias("_hot"))
-    salted = rows.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(F.lit(0).cast("long")),
-    ).drop("_hot")
-    copies = table.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
-            .otherwise(F.array(F.lit(0).cast("long")))
-        ),
-    ).drop("_hot")
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    found = hot_keys(rows, keys, shares)
+    if found is None:
+        return rows.join(table, keys, how)
+    hot = F.broadcast(found.withColumn("_hot", F.lit(True)))
+    zero = F.lit(0).cast("long")
+    salted = rows.join(hot, keys, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(zero)
+    )
+    every = F.sequence(zero, F.lit(salts - 1).cast("long"))
+    copies = table.join(hot, keys, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(zero)))
+    )
+    return salted.drop("_hot").join(copies.drop("_hot"), [*keys, "_salt"], how).drop("_salt")
