@@ -28,75 +28,59 @@ ALIGNMENT = (
 
 
 def _align(q: np.ndarray, r: np.ndarray) -> dict[str, np.ndarray]:
-    """Local alignment of rows of ``q`` with rows of ``r`` (0 is padding), all rows at once.
+    """Local alignment of rows of ``q`` with rows of ``r``, all rows at once.
 
     Anti-diagonals are processed together. Beside the score each cell carries the counts of
     its path (matches, mismatches, gap openings, start), so no trace back is needed. Ties
-    prefer the diagonal, then a gap in the reference; the first best cell is reported.
+    prefer the diagonal, then a gap in the reference; the first best cell is reported. Rows
+    are padded with codes that never match, so padding cannot raise a score.
     """
     n, lq = q.shape
     lr = r.shape[1]
-    width = lq + 1
-    one_match, one_mis, one_open = 1 << 40, 1 << 20, 1
-    padded = np.zeros((n, lq + lr + lq + 2), dtype=np.uint8)
-    padded[:, lq + 1 : lq + 1 + lr] = r
-    qcol = np.zeros((n, width), dtype=np.uint8)
-    qcol[:, 1:] = q
-
-    def blank():
-        return {
-            "h": np.zeros((n, width), dtype=np.int32),
-            "s": np.zeros((n, width), dtype=np.int64),
-            "at": np.zeros((n, width), dtype=np.int64),
-            "op": np.zeros((n, width), dtype=np.int8),
-        }
-
-    one_back, two_back = blank(), blank()
+    turned = np.ascontiguousarray(r[:, ::-1])
+    one_match, one_mis = 1 << 40, 1 << 20
+
+    def blank(dtype):
+        return np.zeros((n, lq + 1), dtype=dtype)
+
+    h1, h2 = blank(np.int32), blank(np.int32)
+    s1, s2, a1, a2 = (blank(np.int64) for _ in range(4))
+    op1 = blank(np.int8)
     best = np.zeros(n, dtype=np.int32)
     kept = {k: np.zeros(n, dtype=np.int64) for k in ("s", "at", "qend", "send")}
     rows = np.arange(n)
-    index = np.arange(width)
     for d in range(2, lq + lr + 1):
-        cur = blank()
-        # reference base of cell i is at position d - i
-        rcol = padded[:, lq + d - index]
-        inside = (qcol != 0) & (rcol != 0)
-        same = inside & (qcol == rcol)
-        diag = np.zeros((n, width), dtype=np.int32)
-        diag[:, 1:] = two_back["h"][:, :-1]
-        diag = np.where(inside, diag + np.where(same, MATCH, MISMATCH), -1)
-        up = np.full((n, width), -1, dtype=np.int32)
-        up[:, 1:] = one_back["h"][:, :-1] + GAP
-        left = one_back["h"] + GAP
-        up = np.where(inside, up, -1)
-        left = np.where(inside, left, -1)
-        h = np.maximum(np.maximum(diag, up), np.maximum(left, 0))
-        take_d = (h > 0) & (h == diag)
-        take_u = (h > 0) & ~take_d & (h == up)
-        take_l = (h > 0) & ~take_d & ~take_u
-        prev = {k: np.zeros((n, width), dtype=two_back[k].dtype) for k in ("h", "s", "at")}
-        for k in prev:
-            prev[k][:, 1:] = two_back[k][:, :-1]
-        fresh = prev["h"] == 0
-        start = (index[None, :].astype(np.int64) << 31) + (d - index)[None, :]
+        lo, hi = max(1, d - lr), min(lq, d - 1)
+        here, above = slice(lo, hi + 1), slice(lo - 1, hi)
+        same = q[:, lo - 1 : hi] == turned[:, lr - d + lo : lr - d + hi + 1]
+        before = h2[:, above]
+        diag = before + np.where(same, np.int32(MATCH), np.int32(MISMATCH))
+        up, left = h1[:, above] + np.int32(GAP), h1[:, here] + np.int32(GAP)
+        gap = np.maximum(up, left)
+        value = np.maximum(np.maximum(diag, gap), 0)
+        by_diag = diag >= gap
+        by_up = up >= left
+        h, s, at, op = blank(np.int32), blank(np.int64), blank(np.int64), blank(np.int8)
+        h[:, here] = value
+        fresh = before == 0
+        index = np.arange(lo, hi + 1, dtype=np.int64)
+        start = (index << 31) + (d - index)
         step = np.where(same, one_match, one_mis)
-        sd = np.where(fresh, 0, prev["s"]) + step
-        ad = np.where(fresh, start, prev["at"])
-        su, au, ou = (np.zeros((n, width), dtype=one_back[k].dtype) for k in ("s", "at", "op"))
-        su[:, 1:], au[:, 1:], ou[:, 1:] = one_back["s"][:, :-1], one_back["at"][:, :-1], one_back["op"][:, :-1]
-        su = su + np.where(ou == 1, 0, one_open)
-        sl = one_back["s"] + np.where(one_back["op"] == 2, 0, one_open)
-        cur["h"] = h
-        cur["s"] = np.where(take_d, sd, np.where(take_u, su, np.where(take_l, sl, 0)))
-        cur["at"] = np.where(take_d, ad, np.where(take_u, au, np.where(take_l, one_back["at"], 0)))
-        cur["op"] = np.where(take_u, 1, np.where(take_l, 2, 0)).astype(np.int8)
-        top = h.argmax(axis=1)
-        value = h[rows, top]
-        better = value > best
-        best = np.where(better, value, best)
-        for k, v in (("s", cur["s"][rows, top]), ("at", cur["at"][rows, top]), ("qend", top), ("send", d - top)):
-            kept[k] = np.where(better, v, kept[k])
-        two_back, one_back = one_back, cur
+        gap_s = np.where(by_up, s1[:, above] + (op1[:, above] != 1), s1[:, here] + (op1[:, here] != 2))
+        gap_at = np.where(by_up, a1[:, above], a1[:, here])
+        s[:, here] = np.where(by_diag, np.where(fresh, 0, s2[:, above]) + step, gap_s)
+        at[:, here] = np.where(by_diag, np.where(fresh, start, a2[:, above]), gap_at)
+        op[:, here] = np.where(by_diag, np.int8(0), np.where(by_up, np.int8(1), np.int8(2)))
+        top = value.argmax(axis=1)
+        peak = value[rows, top]
+        better = peak > best
+        if better.any():
+            cell = top + lo
+            best = np.where(better, peak, best)
+            for k, v in (("s", s[rows, cell]), ("at", at[rows, cell]), ("qend", cell), ("send", d - cell)):
+                kept[k] = np.where(better, v, kept[k])
+        h2, s2, a2 = h1, s1, a1
+        h1, s1, a1, op1 = h, s, at, op
     matches = kept["s"] >> 40
     mism = (kept["s"] >> 20) & ((1 << 20) - 1)
     opened = kept["s"] & ((1 << 20) - 1)
@@ -111,7 +95,7 @@ def _align(q: np.ndarray, r: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def _align_texts(q: pd.Series, r: pd.Series, cells: int = 400_000) -> pd.DataFrame:
+def _align_texts(q: pd.Series, r: pd.Series, cells: int = 60_000) -> pd.DataFrame:
     out = []
     order = (q.str.len() * 100_000 + r.str.len()).to_numpy().argsort(kind="stable")
     q, r = q.iloc[order], r.iloc[order]
@@ -123,6 +107,7 @@ def _align_texts(q: pd.Series, r: pd.Series, cells: int = 400_000) -> pd.DataFra
         la, lb = int(a.str.len().max()), int(b.str.len().max())
         qa = np.array(a.tolist(), dtype=f"S{la}").view(np.uint8).reshape(len(a), la)
         rb = np.array(b.tolist(), dtype=f"S{lb}").view(np.uint8).reshape(len(b), lb)
+        rb = np.where(rb == 0, 1, rb).astype(np.uint8)
         out.append(pd.DataFrame(_align(qa, rb)))
         at += size
     done = pd.concat(out, ignore_index=True) if out else pd.DataFrame(columns=["pident"])
@@ -212,7 +197,10 @@ def similarity_search(
     full = lookup_join(with_q, r.withColumnRenamed("sequence", "_r"), ["sseqid"], spread=["qseqid"])
     oriented = F.when(F.col("minus"), reverse_complement("_q")).otherwise(F.col("_q"))
     db_size = r.agg(F.coalesce(F.sum(F.length("sequence")), F.lit(0))).scalar()
-    scored = full.withColumn("_a", align(oriented, "_r"))
+    # alignment is heavy per row: spread the pairs over all cores, however few bytes they are
+    spark = queries.sparkSession
+    tasks = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    scored = full.repartition(tasks).withColumn("_a", align(oriented, "_r"))
     bits = (F.lit(LAMBDA) * F.col("_a.half_score") / 2 - F.lit(math.log(KAPPA))) / F.lit(math.log(2))
     n = F.length("_q")
     hits = scored.select(
