@@ -66,13 +66,19 @@ def classify_control(name: Column | str) -> Column:
     )
 
 
+def _any_of(name: Column | str, categories: tuple[str, ...]) -> Column:
+    """One pattern for a whole category: the ordered patterns never cross categories."""
+    union = "|".join(p for p, category, *_ in CONTROL_PATTERNS if category in categories)
+    return F.coalesce(strip(name).rlike(f"(?i)^(?:{union})"), F.lit(False))
+
+
 def is_control(name: Column | str) -> Column:
-    return classify_control(name)["samp_category"] != "sample"
+    return _any_of(name, (NEGATIVE, POSITIVE))
 
 
 def is_negative_control(name: Column | str) -> Column:
     """Negative controls only; positive controls are not used for screening."""
-    return classify_control(name)["neg_cont_type"].isNotNull()
+    return _any_of(name, (NEGATIVE,))
 
 
 def is_extraction_negative(neg_cont_type: Column | str) -> Column:

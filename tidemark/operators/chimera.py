@@ -40,41 +40,50 @@ def _two_owners(ends: DataFrame, scope: Sequence[str]) -> DataFrame:
 
 
 def two_parent_matches(
-    amplicons: DataFrame, fold: float, scope: Sequence[str] = (), min_parent: int = 1
+    amplicons: DataFrame, folds: Sequence[float], scope: Sequence[str] = (), min_parent: int = 1
 ) -> DataFrame:
-    """``(scope.., amplicon)`` of sequences that two parents, ``fold`` times as abundant, cover."""
+    """``(scope.., amplicon, hit_0, ..)``: whether two parents cover the sequence, per fold.
+
+    A parent is ``fold`` times as abundant as the sequence. Amplicons without any hit are left
+    out.
+    """
     scope = list(scope)
     base = amplicons.select(*scope, "amplicon", "sequence", "size")
     ends = cut_lineage(_ends(base, scope))
     owners = _two_owners(ends.where(F.col("size") >= min_parent), scope)
     met = lookup_join(ends, owners, [*scope, "k"], spread=["amplicon", "at"])
-    need = F.col("size") * F.lit(float(fold))
-    enough1 = (F.col("p1.size") >= need) & (F.col("p1.amplicon") != F.col("amplicon"))
-    enough2 = F.coalesce((F.col("p2.size") >= need) & (F.col("p2.amplicon") != F.col("amplicon")), F.lit(False))
-    one = F.when(enough1 & enough2, F.lit(2)).when(enough1 | enough2, F.lit(1)).otherwise(F.lit(0))
-    owner = F.when(enough1, F.col("p1.amplicon")).when(enough2, F.col("p2.amplicon"))
-    sides = met.select(*scope, "amplicon", "side", "at", one.alias("n"), owner.alias("who"))
-    cut = sides.groupBy(*scope, "amplicon", "at").agg(
-        F.max(F.when(F.col("side") == "L", F.col("n"))).alias("nl"),
-        F.max(F.when(F.col("side") == "R", F.col("n"))).alias("nr"),
-        F.max(F.when(F.col("side") == "L", F.col("who"))).alias("wl"),
-        F.max(F.when(F.col("side") == "R", F.col("who"))).alias("wr"),
-    )
-    two = (F.col("nl") > 0) & (F.col("nr") > 0) & (
-        (F.col("nl") > 1) | (F.col("nr") > 1) | (F.col("wl") != F.col("wr"))
-    )
-    return cut.where(two).select(*scope, "amplicon").distinct()
+    cols, aggs, hits = {}, [], []
+    for i, fold in enumerate(folds):
+        need = F.col("size") * F.lit(float(fold))
+
+        def enough(parent: str) -> Column:
+            other = F.col(f"{parent}.amplicon") != F.col("amplicon")
+            return F.coalesce((F.col(f"{parent}.size") >= need) & other, F.lit(False))
+
+        first, second = enough("p1"), enough("p2")
+        cols[f"_n{i}"] = first.cast("int") + second.cast("int")
+        cols[f"_w{i}"] = F.when(first, F.col("p1.amplicon")).when(second, F.col("p2.amplicon"))
+        for side in "LR":
+            for c in (f"_n{i}", f"_w{i}"):
+                aggs.append(F.max(F.when(F.col("side") == side, F.col(c))).alias(f"{c}{side}"))
+        both = (F.col(f"_n{i}L") > 0) & (F.col(f"_n{i}R") > 0)
+        apart = (F.col(f"_n{i}L") > 1) | (F.col(f"_n{i}R") > 1) | (F.col(f"_w{i}L") != F.col(f"_w{i}R"))
+        hits.append(F.coalesce(both & apart, F.lit(False)).alias(f"hit_{i}"))
+    sides = met.select(*scope, "amplicon", "side", "at", *[c.alias(n) for n, c in cols.items()])
+    cut = sides.groupBy(*scope, "amplicon", "at").agg(*aggs).select(*scope, "amplicon", *hits)
+    names = [f"hit_{i}" for i in range(len(folds))]
+    found = cut.groupBy(*scope, "amplicon").agg(*[F.bool_or(n).alias(n) for n in names])
+    return found.where(" OR ".join(names))
 
 
 def call_chimeras(amplicons: DataFrame, fold: float = 2.0) -> DataFrame:
     """Every amplicon with ``chimera``: Y, ``?`` when the parents are more abundant but less
     than ``fold`` times, else N."""
-    sure = two_parent_matches(amplicons, fold).withColumn("_y", F.lit(True))
-    maybe = two_parent_matches(amplicons, 1.0 + 1e-9).withColumn("_q", F.lit(True))
-    joined = amplicons.join(sure, "amplicon", "left").join(maybe, "amplicon", "left")
+    hits = two_parent_matches(amplicons, [fold, 1.0 + 1e-9])
+    joined = amplicons.join(hits, "amplicon", "left")
     return joined.withColumn(
-        "chimera", F.when(F.col("_y"), "Y").when(F.col("_q"), "?").otherwise("N")
-    ).drop("_y", "_q")
+        "chimera", F.when(F.col("hit_0"), "Y").when(F.col("hit_1"), "?").otherwise("N")
+    ).drop("hit_0", "hit_1")
 
 
 def sample_votes(table: DataFrame, fold: float = 1.5, min_parent: int = 2) -> DataFrame:
@@ -82,7 +91,7 @@ def sample_votes(table: DataFrame, fold: float = 1.5, min_parent: int = 2) -> Da
     rows = table.where("reads > 0").select(
         "sample", F.sha1("sequence").alias("amplicon"), "sequence", F.col("reads").alias("size")
     )
-    called = two_parent_matches(rows, fold, ["sample"], min_parent).withColumn("_y", F.lit(True))
+    called = two_parent_matches(rows, [fold], ["sample"], min_parent).withColumnRenamed("hit_0", "_y")
     joined = rows.join(called, ["sample", "amplicon"], "left")
     return joined.groupBy("sequence").agg(
         F.count(F.lit(1)).alias("n_samples"), F.count("_y").alias("n_flagged")
@@ -105,7 +114,7 @@ def remove_bimeras(table: DataFrame, method: str = "consensus") -> DataFrame:
         pooled = table.groupBy("sequence").agg(F.sum("reads").alias("size")).withColumn(
             "amplicon", F.sha1("sequence")
         )
-        called = two_parent_matches(pooled, 2.0, min_parent=8)
+        called = two_parent_matches(pooled, [2.0], min_parent=8)
         bad = pooled.join(called, "amplicon").select("sequence")
     else:
         raise ValueError(f"unknown chimera method {method!r}")

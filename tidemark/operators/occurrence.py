@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.functions.controls import UNCLASSIFIED, classify_control
+from tidemark.functions.controls import UNCLASSIFIED, classify_control, is_control
 from tidemark.functions.nulls import label_to_null, taxon_or_null
 from tidemark.functions.ranks import RANKS, rank_label, taxon_label
 from tidemark.functions.sequences import occurrence_id
@@ -193,7 +193,7 @@ def non_target(marker: str) -> Column:
 
 def drop_controls(occurrences: DataFrame) -> DataFrame:
     """Remove negative and positive control samples; a control-like name stays."""
-    return occurrences.where(classify_control("eventID")["samp_category"] == "sample")
+    return occurrences.where(~is_control("eventID"))
 
 
 def control_like_samples(occurrences: DataFrame) -> DataFrame:
@@ -205,7 +205,7 @@ def control_like_samples(occurrences: DataFrame) -> DataFrame:
 def drop_reasons(occurrences: DataFrame, marker: str) -> DataFrame:
     """Every row with the reason it is filtered for, null where it stays."""
     reason = (
-        F.when(classify_control("eventID")["samp_category"] != "sample", F.lit("negative/positive control"))
+        F.when(is_control("eventID"), F.lit("negative/positive control"))
         .when(non_target(marker), F.lit(f"non-target taxon ({marker})"))
     )
     return occurrences.withColumn("drop_reason", reason)

@@ -177,16 +177,17 @@ def _(spark, sf):
 
 # Reference and queries for search and classifiers: 32 bases of the genus, 32 of their own.
 VIEWS["refs"] = """
-SELECT concat('R', CAST(p_partkey AS STRING)) AS ref_id, concat(translate(md5(concat('g', CAST(p_partkey % 40 AS STRING))),
-  '0123456789abcdef', 'ACGTACGTACGTACGT'), translate(md5(CAST(p_partkey AS STRING)), '0123456789abcdef', 'ACGTACGTACGTACGT')) AS
-  sequence, 'Metazoa' AS kingdom, concat('P', CAST(p_partkey % 2 AS STRING)) AS phylum, concat('C', CAST(p_partkey % 4 AS STRING))
-  AS class_, concat('O', CAST(p_partkey % 8 AS STRING)) AS order_, concat('F', CAST(p_partkey % 20 AS STRING)) AS family,
-  concat('G', CAST(p_partkey % 40 AS STRING)) AS genus, concat('S', CAST(p_partkey % 400 AS STRING)) AS species FROM {part}"""
+SELECT concat('R', CAST(p_partkey AS STRING)) AS ref_id, concat(translate(md5(concat('g', CAST(g AS STRING))), '0123456789abcdef',
+  'ACGTACGTACGTACGT'), translate(md5(CAST(p_partkey AS STRING)), '0123456789abcdef', 'ACGTACGTACGTACGT')) AS sequence, 'Metazoa' AS
+  kingdom, concat('P', CAST(g % 2 AS STRING)) AS phylum, concat('C', CAST(g % 4 AS STRING)) AS class_, concat('O', CAST(g % 8 AS
+  STRING)) AS order_, concat('F', CAST(g % 16 AS STRING)) AS family, concat('G', CAST(g AS STRING)) AS genus, concat('S',
+  CAST(CAST(floor(p_partkey / 5) AS BIGINT) AS STRING)) AS species FROM (SELECT p_partkey, CAST(floor(p_partkey / 20) AS BIGINT) AS g
+  FROM {part}) p"""
 VIEWS["asks"] = """
 SELECT concat('Q', CAST(c_custkey AS STRING)) AS asv_id, CASE WHEN c_custkey % 3 = 0 THEN translate(reverse(s), 'ACGT', 'TGCA') ELSE
-  s END AS sequence FROM (SELECT c_custkey, concat(translate(md5(concat('g', CAST(c_custkey % 40 AS STRING))), '0123456789abcdef',
-  'ACGTACGTACGTACGT'), substring(translate(md5(CAST(CASE WHEN c_custkey % 2 = 0 THEN c_custkey ELSE -c_custkey END AS STRING)),
-  '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 28)) AS s FROM {customer}) t"""
+  s END AS sequence FROM (SELECT c_custkey, concat(translate(md5(concat('g', CAST(CAST(floor(c_custkey / 20) AS BIGINT) AS STRING))),
+  '0123456789abcdef', 'ACGTACGTACGTACGT'), substring(translate(md5(CAST(CASE WHEN c_custkey % 2 = 0 THEN c_custkey ELSE -c_custkey END
+  AS STRING)), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 28)) AS s FROM {customer}) t"""
 
 
 @query("r9_similarity_search")

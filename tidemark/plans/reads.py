@@ -9,6 +9,7 @@ from tidemark.operators import reads as rd
 from tidemark.plans.registry import query
 from tidemark.plans.sources import FORWARD_PRIMER, REVERSE_PRIMER, _AMPLICON, _RCSQL
 from tidemark.plans.views import VIEWS, ctes, view
+from tidemark.session import spread_small_scan
 
 FRC, RRC = "AGAGTGACGGGCGGTGT", "CATGGTAAGTGTACCGGAAG"
 
@@ -57,7 +58,7 @@ back AS (SELECT * FROM both_cut WHERE length(r1_seq) >= 20 AND length(r2_seq) >=
 
 
 def pairs(spark, sf):
-    return view(spark, sf, "pairs")
+    return spread_small_scan(view(spark, sf, "pairs"))
 
 
 @query("r2_trim_five_prime", _FRONT + " SELECT * FROM trimmed")
@@ -91,7 +92,7 @@ _OK = "(read_no % 7 <> 2 AND read_no % 11 <> 3)"
     + f" SELECT read_no, {_OK} AND read_no % 3 <> 0 AS as_expected, {_OK} AND read_no % 3 = 0 AS reversed FROM long_pairs",
 )
 def _(spark, sf):
-    df = rd.detect_orientation(view(spark, sf, "long_pairs"), FORWARD_PRIMER, REVERSE_PRIMER)
+    df = rd.detect_orientation(spread_small_scan(view(spark, sf, "long_pairs")), FORWARD_PRIMER, REVERSE_PRIMER)
     return df.select("read_no", "as_expected", "reversed")
 
 
@@ -103,7 +104,7 @@ def _(spark, sf):
     THEN r1_qual ELSE r2_qual END AS r2_qual FROM long_pairs WHERE {_OK}""",
 )
 def _(spark, sf):
-    return rd.realign(rd.detect_orientation(view(spark, sf, "long_pairs"), FORWARD_PRIMER, REVERSE_PRIMER))
+    return rd.realign(rd.detect_orientation(spread_small_scan(view(spark, sf, "long_pairs")), FORWARD_PRIMER, REVERSE_PRIMER))
 
 
 # Tagged pairs of four libraries: tag of the sample on both mates, its reverse complement behind.

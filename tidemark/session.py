@@ -61,3 +61,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Rows of a scan with fewer files than cores, spread over the cores.
+
+    For work that is heavy per row. A large input has more files than cores and is left as it
+    is: no shuffle is added there.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
