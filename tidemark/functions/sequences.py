@@ -58,14 +58,6 @@ def occurrence_id(marker: Column | str, event_id: Column | str, sequence: Column
     return F.concat_ws(":", head, _col(event_id), digest)
 
 
-def qualities(qual: Column | str, offset: int = 33) -> Column:
-    """Phred scores of a quality string."""
-    q = _col(qual)
-    return F.transform(
-        F.split(q, "(?!^)(?!$)"), lambda ch: F.ascii(ch) - F.lit(offset)
-    )
-
-
 def truncated_length(qual: Column | str, trunc_q: int, offset: int = 33) -> Column:
     """Bases before the first score at or below ``trunc_q``."""
     q = _col(qual)
@@ -75,14 +67,12 @@ def truncated_length(qual: Column | str, trunc_q: int, offset: int = 33) -> Colu
 
 
 def expected_errors(qual: Column | str, offset: int = 33) -> Column:
-    """Sum of error probabilities over the quality string."""
-    q = _col(qual)
-    return F.when(F.length(q) == 0, F.lit(0.0)).otherwise(
-        F.aggregate(
-            qualities(q, offset),
-            F.lit(0.0),
-            lambda acc, s: acc + F.pow(F.lit(10.0), -s / F.lit(10.0)),
-        )
+    """Sum of error probabilities over the quality string, read from a table of the scores."""
+    table = F.array(*[F.lit(10.0 ** (-score / 10.0)) for score in range(127 - offset)])
+    return F.aggregate(
+        F.filter(F.split(_col(qual), ""), lambda ch: ch != ""),
+        F.lit(0.0),
+        lambda total, ch: total + F.get(table, F.ascii(ch) - F.lit(offset)),
     )
 
 

@@ -1,6 +1,8 @@
 """Read-level work: primers, tags, quality, merging of mates.
 
 Bases are compared in Arrow batches, all reads of a batch at once; everything else is built-in.
+The pandas functions are declared nondeterministic although they are not: otherwise a filter on
+their result is pushed below later steps and every function in the chain runs twice.
 """
 
 from __future__ import annotations
@@ -94,7 +96,7 @@ def locate_primer(
     def place(reads: pd.Series) -> pd.DataFrame:
         return _locate(reads, primer, end, error_rate, min_overlap)
 
-    return place(c)
+    return place.asNondeterministic()(c)
 
 
 def _after(seq: str, at: Column) -> Column:
@@ -278,7 +280,8 @@ def without_genome(pairs: DataFrame, genome: str, word: int = 16, min_hits: int
     def shared(seq: pd.Series) -> pd.Series:
         return seq.map(lambda s: sum(s[i : i + word] in words for i in range(0, len(s) - word + 1, word)))
 
-    return pairs.where((shared("r1_seq") < min_hits) & (shared("r2_seq") < min_hits))
+    once = shared.asNondeterministic()
+    return pairs.where((once("r1_seq") < min_hits) & (once("r2_seq") < min_hits))
 
 
 def _merge_batch(r1, q1, r2, q2, min_overlap: int, max_diffs: int, stagger: bool) -> pd.DataFrame:
@@ -349,7 +352,7 @@ def merge_mates(
         return _merge_batch(r1, q1, r2, q2, min_overlap, max_diffs, allow_stagger)
 
     rest = [c for c in pairs.columns if c not in ("r1_seq", "r1_qual", "r2_seq", "r2_qual", "r1_id")]
-    merged = pairs.withColumn("_m", join("r1_seq", "r1_qual", "r2_seq", "r2_qual")).select(*rest, "_m.*")
+    merged = pairs.withColumn("_m", join.asNondeterministic()("r1_seq", "r1_qual", "r2_seq", "r2_qual")).select(*rest, "_m.*")
     merged = merged.where(F.col("sequence").isNotNull() & (F.length("sequence") >= min_length))
     if max_n is not None:
         ns = F.length("sequence") - F.length(F.replace("sequence", F.lit("N"), F.lit("")))

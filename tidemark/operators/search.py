@@ -123,7 +123,7 @@ def align(query: Column | str, reference: Column | str) -> Column:
         done = _align_texts(q, r)
         return done.astype({c: "float64" if c == "pident" else "int32" for c in done.columns})
 
-    return run(query, reference)
+    return run.asNondeterministic()(query, reference)  # evaluated once, not again per filter
 
 
 def seed_words(df: DataFrame, key: str, word: int) -> DataFrame:

@@ -10,6 +10,7 @@ from tidemark.functions.controls import is_negative_control
 from tidemark.functions.nulls import is_assigned
 from tidemark.functions.ranks import RANKS, finest_taxon
 from tidemark.functions.text import EVENT_LEVELS, line_level
+from tidemark.skew import rank_by_position
 
 
 def _r(rank: str) -> Column:
@@ -191,11 +192,10 @@ def excerpt_log(lines: DataFrame, log: str, budget: int = 1500, edge: int = 45)
     """
     sizes = lines.groupBy(log).agg(F.count(F.lit(1)).alias("_n"))
     typed = lines.join(sizes, log).withColumn("level", line_level("text"))
-    edges = F.least(F.lit(2 * edge), F.col("_n"))
     near = (F.col("line_no") < edge) | (F.col("line_no") >= F.col("_n") - edge)
+    events = typed.where((F.col("_n") > budget) & F.col("level").isin(*EVENT_LEVELS))
     events = (
-        typed.where((F.col("_n") > budget) & F.col("level").isin(*EVENT_LEVELS))
-        .withColumn("_k", F.row_number().over(Window.partitionBy(log).orderBy("line_no")))
+        rank_by_position(events, [log], "line_no", "_k")
         .where(F.col("_k") <= max(0, budget - 2 * edge))
         .select(log, "line_no", "level", "text")
     )
