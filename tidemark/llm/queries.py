@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import token_blocks
+from tidemark.llm import packing, token_blocks
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,9 @@ def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids, read back from the written blocks."""
     files = token_blocks.write_token_files(table(spark, sf_dir, "documents"), WORD_BPE, "dropped", end_id=1)
     return token_blocks.token_digests(spark, files)
+
+
+@_query("op4_best_fit_packing")
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence of 2048 tokens."""
+    return packing.pack(packing.cut_pieces(table(spark, sf_dir, "documents"), BYTE_BPE, "leading", end_id=0))
