@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import packing, token_blocks
+from tidemark.llm import line_dedup, packing, token_blocks
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,30 @@ def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence of 2048 tokens."""
     return packing.pack(packing.cut_pieces(table(spark, sf_dir, "documents"), BYTE_BPE, "leading", end_id=0))
+
+
+@_query(
+    "op9_line_dedup",
+    r"""
+    WITH l AS (
+      SELECT doc_id, u.line AS line, u.pos AS pos,
+        lower_ascii AS key
+      FROM (
+        SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents
+      ) u, LATERAL (SELECT translate(trim(u.line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_ascii)
+    ), f AS (
+      SELECT key, min(doc_id) AS first_doc FROM l WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2
+    ), m AS (
+      SELECT l.*, f.first_doc IS NOT NULL AND l.doc_id <> f.first_doc AS gone FROM l LEFT JOIN f USING (key)
+    )
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+      sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+    FROM m GROUP BY doc_id
+    """,
+)
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document without the lines that an earlier document holds."""
+    docs = table(spark, sf_dir, "documents")
+    return line_dedup.line_digests(docs, line_dedup.keep_bitmaps(docs))
