@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat_windows, line_dedup, packing, token_blocks
+from tidemark.llm import chat_windows, language, line_dedup, packing, token_blocks
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,11 @@ def op5_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     rows = turns.unionByName(chat_windows.probe_conversation(spark))
     return chat_windows.conversation_digests(chat_windows.write_windows(chat_windows.windows(rows, BYTE_BPE, "leading")))
+
+
+@_query("op2_language")
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document, learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    found = language.predict(docs.select("doc_id", "text"), language.fit(docs))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
