@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat_windows, language, line_dedup, packing, token_blocks
+from tidemark.llm import chat_windows, language, line_dedup, packing, token_blocks, top_k
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,25 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.predict(docs.select("doc_id", "text"), language.fit(docs))
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@_query(
+    "op8_exact_top_k",
+    """
+    WITH v AS (
+      SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+      WHERE embedding IS NOT NULL
+        AND coalesce(list_bool_and([x IS NOT NULL AND isfinite(x) for x in embedding]), true)
+    ), s AS (
+      SELECT q.vec_id AS query_id, c.vec_id,
+        list_dot_product(q.v, c.v)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+    ), r AS (
+      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s
+    )
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+)
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best others of every 50th vector."""
+    return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
