@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat_windows, language, line_dedup, packing, token_blocks, top_k
+from tidemark.llm import chat_windows, decontaminate, language, line_dedup, packing, token_blocks, top_k
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,9 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best others of every 50th vector."""
     return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@_query("op7_decontaminate")
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark passage in every document, with its place and similarity."""
+    return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
