@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat_windows, decontaminate, language, line_dedup, packing, token_blocks, top_k
+from tidemark.llm import chat_windows, decontaminate, jaccard_join, language, line_dedup, packing, token_blocks, top_k
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,9 @@ def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark passage in every document, with its place and similarity."""
     return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query("op3_jaccard_join")
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate component of every document."""
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
