@@ -13,6 +13,7 @@ from tidemark.session import new_path
 #: Texts are handled in slices of about so many characters, so memory follows the slice.
 SLICE_CHARS = 1 << 21
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _M1 = np.uint64(0xFF51AFD7ED558CCD)
 _M2 = np.uint64(0xC4CEB9FE1A85EC53)
 _S33 = np.uint64(33)
@@ -24,9 +25,15 @@ def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
 
     Later jobs read files, so a lost executor costs only the tasks that it ran.
     """
-    path = new_path(df.sparkSession, label)
-    df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = new_path(spark, label)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")  # the files replace the shuffles that made them
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
