@@ -1,6 +1,6 @@
 """Who else holds a token: documents' hashes exchanged by bucket, packed in arrays.
 
-A document's distinct tokens are 64-bit hashes. Rows for the shuffle are one per slice of
+A document's tokens are 64-bit hashes. Rows for the shuffle are one per slice of
 documents and bucket, with the tokens and their documents as arrays: about ``width + 2`` bytes
 for each token instead of a row. Equal tokens meet in a bucket; the answers go back by document.
 Buckets are as many as the session's shuffle partitions, which is what bounds a task's memory. A
@@ -18,7 +18,11 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.llm.common import mixed, parts, slices
 
 SLICE = 1 << 23
-Features = Callable[..., np.ndarray]
+#: From the columns of a slice of documents to the tokens of each.
+Features = Callable[..., list[np.ndarray]]
+#: Which tokens are answered: those that another document holds, that a document with a smaller id
+#: holds, or that occur twice anywhere.
+OTHERS, EARLIER, TWICE = "others", "earlier", "twice"
 
 
 def pack_tokens(tokens: np.ndarray, width: int) -> bytes:
@@ -34,11 +38,11 @@ def unpack_tokens(data: bytes, width: int) -> np.ndarray:
     return wide.view("<u8").reshape(-1)
 
 
-def scatter(docs: DataFrame, features: Features, width: int) -> DataFrame:
+def scatter(docs: DataFrame, features: Features, width: int, slice_size: int = SLICE) -> DataFrame:
     """Packed rows ``(bucket, ids, refs, tokens)``.
 
-    ``docs`` has doc_id, text and maybe more columns; ``features`` gets the text and those
-    columns and returns the document's distinct tokens.
+    ``docs`` has doc_id, a text or binary column and maybe more; ``features`` gets lists of these
+    for a slice of documents and returns the tokens of each, distinct ones for ``OTHERS``.
     """
     buckets = parts(docs.sparkSession)
 
@@ -46,8 +50,8 @@ def scatter(docs: DataFrame, features: Features, width: int) -> DataFrame:
         for batch in batches:
             doc_ids = batch.column(0).to_numpy(zero_copy_only=False)
             columns = [c.to_pylist() for c in batch.columns[1:]]
-            for a, b in slices([t or "" for t in columns[0]], SLICE):
-                found = [features(*(c[i] for c in columns)) for i in range(a, b)]
+            for a, b in slices([t or "" for t in columns[0]], slice_size):
+                found = features(*(c[a:b] for c in columns))
                 flat = np.concatenate(found)
                 ref = np.repeat(np.arange(b - a, dtype=np.uint32), [len(x) for x in found])
                 of = ((mixed(flat) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
@@ -69,12 +73,12 @@ def scatter(docs: DataFrame, features: Features, width: int) -> DataFrame:
     return docs.mapInArrow(rows, "bucket int, ids binary, refs binary, tokens binary")
 
 
-def answers(packed: DataFrame, width: int, earlier: bool) -> DataFrame:
+def answers(packed: DataFrame, width: int, rule: str) -> DataFrame:
     """``(doc_id, tokens, firsts)`` per document and bucket, as arrays.
 
-    The tokens that another document holds; with ``earlier``, those that a document with a
-    smaller id holds, and in ``firsts`` the smallest such id.
+    The tokens that the rule selects; for ``EARLIER`` also the smallest id that holds each.
     """
+    earlier = rule == EARLIER
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, tokens = [], []
@@ -96,6 +100,8 @@ def answers(packed: DataFrame, width: int, earlier: bool) -> DataFrame:
         first = np.repeat(np.minimum.reduceat(doc, starts), sizes)
         if earlier:
             keep = doc > first
+        elif rule == TWICE:
+            keep = np.repeat(sizes, sizes) > 1
         else:
             keep = np.repeat(np.maximum.reduceat(doc, starts), sizes) > first
         doc, token, first = doc[keep], token[keep], first[keep]

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import run_hashes, slices, stored, word_hashes
-from tidemark.llm.exchange import answers, by_document, joined, scatter
+from tidemark.llm.exchange import EARLIER, OTHERS, answers, by_document, joined, scatter
 
 WINDOW_WORDS = 13
 SEED_WORDS = 7
@@ -60,12 +60,12 @@ def earlier_windows(docs: DataFrame, window: int = WINDOW_WORDS, seed: int = SEE
     """``(doc_id, tokens, firsts)``: each document's windows that start in an earlier one."""
     known = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
     seeds = stored(
-        by_document(answers(scatter(known, lambda t: document_seeds(t, window, seed), SEED_WIDTH), SEED_WIDTH, earlier=False)),
+        by_document(answers(scatter(known, lambda t: [document_seeds(x, window, seed) for x in t], SEED_WIDTH), SEED_WIDTH, OTHERS)),
         "phrase-seeds",
     ).select("doc_id", F.col("tokens").alias("seeds"))
     likely = known.join(seeds, "doc_id")
-    packed = scatter(likely, lambda t, s: shared_windows(t, s, window, seed), WINDOW_WIDTH)
-    return stored(by_document(answers(packed, WINDOW_WIDTH, earlier=True)), "phrase-windows")
+    packed = scatter(likely, lambda t, s: [shared_windows(*x, window, seed) for x in zip(t, s, strict=True)], WINDOW_WIDTH)
+    return stored(by_document(answers(packed, WINDOW_WIDTH, EARLIER)), "phrase-windows")
 
 
 class _Letters:

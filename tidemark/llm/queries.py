@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat_windows, decontaminate, jaccard_join, language, line_dedup, packing, phrase_automata, token_blocks, top_k
+from tidemark.llm import chat_windows, decontaminate, jaccard_join, language, line_dedup, packing, phrase_automata, suffix_dedup, token_blocks, top_k
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,9 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document without the words that earlier documents hold in passages."""
     return phrase_automata.repeated_words(table(spark, sf_dir, "documents"))
+
+
+@_query("op6_suffix_dedup")
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document without the 400-byte strings that occur elsewhere."""
+    return suffix_dedup.byte_digests(table(spark, sf_dir, "documents"))
