@@ -300,3 +300,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return known.join(named, ["n", "p1", "p2"], "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )
+
+
+def drop_duplicates(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document, that of the smallest id, of every component."""
+    gone = near_duplicates(docs).where("component_id <> doc_id").select(F.col("doc_id").alias("_id"))
+    return docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")

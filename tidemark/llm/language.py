@@ -180,13 +180,16 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Models:
     return Models([(k, a, b, bytes(w)) for k, a, b, w in fitted])
 
 
-def predict(docs: DataFrame, models: Models) -> DataFrame:
-    """``docs`` plus ``lang_pred`` and ``score``; ``und`` and 0 for texts without a letter."""
+def predict(docs: DataFrame, models: Models, text: str = "text", out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` plus the predicted language and its score; ``und`` and 0 for texts without a letter.
+
+    The two columns are named by ``out`` and replace columns of these names.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(models)  # bounded by the languages
 
-    @F.pandas_udf("lang_pred string, score double")
-    def guess(text: pd.Series) -> pd.DataFrame:
-        found = [shared.value.predict(t) for t in text]
-        return pd.DataFrame(found, columns=["lang_pred", "score"])
+    @F.pandas_udf("l string, s double")
+    def guess(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([shared.value.predict(t) for t in texts], columns=["l", "s"])
 
-    return docs.withColumn("_g", guess("text")).withColumns({"lang_pred": F.col("_g.lang_pred"), "score": F.col("_g.score")}).drop("_g")
+    guessed = guess(F.col(text))
+    return docs.withColumn(out[0], guessed).withColumns({out[0]: F.col(f"{out[0]}.l"), out[1]: F.col(f"{out[0]}.s")})
