@@ -20,16 +20,22 @@ MODES = ("flag", "subtract")
 CONTROL_FLAG = "in_negative_control"
 
 
+def last_manifest_rows(manifest: DataFrame) -> DataFrame:
+    """One row for each eventID: its last in the manifest's order."""
+    fields = ["samp_category", "neg_cont_type", "extraction_ID"]
+    ordered = manifest.select("eventID", F.struct(*fields).alias("_m"), F.monotonically_increasing_id().alias("_row"))
+    return ordered.groupBy("eventID").agg(F.max_by("_m", "_row").alias("_m")).select("eventID", "_m.*")
+
+
 def sample_roles(counts: DataFrame, manifest: DataFrame) -> DataFrame:
     """Role of every sample of the counts: control (with its batch) or biological.
 
-    The manifest decides; a sample it does not list is classified by name. Only negative
-    controls clean; positive controls are cleaned like samples.
+    The manifest decides; a sample it does not list is classified by name. Of the manifest's
+    rows for one sample (it may be in several runs) the last counts, so no read counts twice.
+    Only negative controls clean; positive controls are cleaned like samples.
     """
     names = counts.select("eventID").distinct()
-    listed = manifest.select(
-        "eventID", "samp_category", "neg_cont_type", "extraction_ID", F.lit(True).alias("listed")
-    )
+    listed = last_manifest_rows(manifest).withColumn("listed", F.lit(True))
     byname = classify_control("eventID")
     joined = names.join(listed, "eventID", "left").withColumn("_c", byname)
     listed_col = F.coalesce(F.col("listed"), F.lit(False))

@@ -22,8 +22,15 @@ def _with_ranks(df: DataFrame, ranks: Mapping[str, Column]) -> DataFrame:
 
 
 def attach_lineage(hits: DataFrame, lineage: DataFrame) -> DataFrame:
-    """Hits with the ranks of their reference; see :func:`hits_without_lineage` for the check."""
-    return hits.join(lineage.select("sseqid", *[_r(r) for r in RANKS]), "sseqid")
+    """Hits with the ranks of their reference.
+
+    A hit whose reference has no lineage fails the job that reads it, as leaving it out would
+    change the consensus; :func:`hits_without_lineage` lists all of them.
+    """
+    known = lineage.select("sseqid", *[_r(r) for r in RANKS], F.lit(True).alias("_known"))
+    error = F.raise_error(F.concat(F.lit("no lineage for reference "), F.coalesce("sseqid", F.lit("null"))))
+    joined = hits.join(known, "sseqid", "left")
+    return joined.where(F.coalesce("_known", error.cast("boolean"))).drop("_known")
 
 
 def hits_without_lineage(hits: DataFrame, lineage: DataFrame) -> DataFrame:
