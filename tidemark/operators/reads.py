@@ -201,14 +201,13 @@ def realign(flagged: DataFrame) -> DataFrame:
     return kept.unionByName(turned)
 
 
-def demultiplex(pairs: DataFrame, tags: DataFrame, max_tag: int = 64) -> DataFrame:
+def demultiplex(pairs: DataFrame, tags: DataFrame) -> DataFrame:
     """Sample of each pair by the exact tag both mates start with, per library; tags are cut.
 
-    Tags are looked up by (library, length, bases), once per tag length in use; the lengths
-    are few because a tag is at most ``max_tag`` bases. Pairs without a tag, and the name
+    Tags are looked up by (library, length, bases), once per tag length in use. Pairs without a tag, and the name
     ``unknown``, are dropped. A tag's reverse complement at the end of a mate is cut too.
     """
-    lengths = sorted(r[0] for r in tags.select(F.length("tag")).where(F.length("tag") <= max_tag).distinct().collect())
+    lengths = sorted(r[0] for r in tags.select(F.length("tag")).distinct().collect())
     if not lengths:
         raise ValueError("no tag to look for")
     keyed = tags.where(F.lower("sample") != "unknown").select(
