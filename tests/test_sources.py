@@ -1,6 +1,7 @@
 """File scans on real files."""
 
 import gzip
+import os
 
 import pytest
 
@@ -77,9 +78,9 @@ def test_tag_table_delimiter(spark, tmp_path, sep):
 def test_headers_are_mapped_by_canonical_form(spark, tmp_path):
     path = put(tmp_path / "f.csv", "﻿EventID,Depth [m],depth,odd\nS1,3,4,z\n")
     df = tables.read_text_table(spark, path)
-    chosen, known, odd, clash = tables.map_headers(df.columns, {"eventid": "eventID", "depth": "depth"})
-    assert tables.rename_headers(df, chosen).first().asDict() == {"eventID": "S1", "depth": "3"}
-    assert odd == ["odd"] and clash[0][0] == "depth" and not known
+    outcomes = tables.header_outcomes(df.columns, {"eventid": "eventID", "depth": "depth"})
+    assert tables.rename_headers(df, outcomes).first().asDict() == {"eventID": "S1", "depth": "3"}
+    assert [(raw, what) for raw, what, _ in outcomes[2:]] == [("depth", "collision"), ("odd", "unexpected")]
 
 
 def fq(path, n, base="A"):
@@ -123,14 +124,16 @@ def test_trim_logs_and_live_tracking(spark, tmp_path):
     rows = {r["sample"]: (r.raw, r.trimmed) for r in logs.read_trim_counts(spark, str(folder)).collect()}
     assert rows == {"S1": (1000, 800), "S2": (None, None)}
 
-    def run(table):
-        stream = live.current_counts(live.watch_trim_logs(spark, str(folder)))
-        live.start(stream, table, str(tmp_path / "ckpt" / table)).awaitTermination()
-        return {(r["sample"], r.step): r.reads for r in spark.table(table).collect()}
+    def run():
+        stream = live.watch_trim_logs(spark, str(folder))
+        live.start(stream, str(tmp_path / "counts"), str(tmp_path / "ckpt")).awaitTermination()
+        return sorted(tuple(r) for r in live.read_counts(spark, str(tmp_path / "counts")).collect())
 
-    assert run("first") == {("S1", "raw"): 1000, ("S1", "trimmed"): 800}
-    put(folder / "S2_trim_pass2.txt", "Pairs written (passing filters): 12 (1%)\n")
-    assert run("second")["S2", "trimmed"] == 12
+    assert run() == [("S1", "raw", 1000), ("S1", "trimmed", 800)]
+    late = put(folder / "S2_trim_pass2.txt", "Pairs written (passing filters): 12 (1%)\n")
+    os.utime(late, (0, 0))  # copied in with an old time stamp
+    assert run() == [("S1", "raw", 1000), ("S1", "trimmed", 800), ("S2", "trimmed", 12)]
+    assert len(run()) == 3
 
 
 def test_run_state(spark, tmp_path):
@@ -138,3 +141,12 @@ def test_run_state(spark, tmp_path):
     rows = {r.step: r for r in logs.read_run_state(spark, put(tmp_path / "s.json", text)).collect()}
     assert rows["trim"].duration_seconds == 2.5 and rows["trim"].read_tracking.n_samples == 2
     assert rows["swarm"].duration_seconds is None
+
+
+def test_every_matrix_file_has_its_own_header(spark, tmp_path):
+    put(tmp_path / "m" / "a.csv", "sequence,S1,S2\nACGT,1,2\n")
+    put(tmp_path / "m" / "b.csv", '"sequence",S2,"S,3",S1\nGGTT,7,8,x\n')
+    long, samples = tables.read_counts_matrix(spark, str(tmp_path / "m"))
+    got = {(r["sequence"], r["sample"]): r.reads for r in long.collect()}
+    assert got == {("ACGT", "S1"): 1, ("ACGT", "S2"): 2, ("GGTT", "S2"): 7, ("GGTT", "S,3"): 8, ("GGTT", "S1"): None}
+    assert sorted(samples) == ["S,3", "S1", "S2"]

@@ -213,4 +213,5 @@ def _(spark, sf):
 )
 def _(spark, sf):
     roles = cl.sample_roles(counts(spark, sf), manifest(spark, sf))
-    return cl.unmatched_blank_batches(roles.where("is_control OR coalesce(extraction_ID, '') <> 'EXP1'"))
+    unsampled = F.when(F.col("is_control") | (F.col("extraction_ID") != "EXP1"), F.col("extraction_ID"))
+    return cl.unmatched_blank_batches(roles.withColumn("extraction_ID", unsampled))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -298,9 +297,12 @@ SELECT concat('S', CAST(k % 3 AS STRING)) AS sample, substring({_S}, 1 + k % 4,
     + """, nodes AS (SELECT sequence, sum(reads) AS size, row_number() OVER (ORDER BY sum(reads) DESC, sequence) AS rank FROM ragged
     GROUP BY sequence), win AS (SELECT rank, substr(sequence, i, n) AS w FROM nodes, range(1, 40) a(i), range(20, 40) b(n) WHERE n <
     length(sequence) AND i + n - 1 <= length(sequence)), links AS (SELECT DISTINCT least(w.rank, n.rank) AS src, greatest(w.rank,
-    n.rank) AS dst FROM win w JOIN nodes n ON n.sequence = w.w), reach(root, node) AS (SELECT rank, rank FROM nodes UNION SELECT root,
-    dst FROM reach JOIN links ON src = node), m AS (SELECT n.sequence, k.sequence AS kept FROM (SELECT node, min(root) AS root FROM
-    reach GROUP BY node) r JOIN nodes n ON n.rank = r.node JOIN nodes k ON k.rank = r.root) SELECT sample, kept AS sequence,
+    n.rank) AS dst FROM win w JOIN nodes n ON n.sequence = w.w), before AS (SELECT rank, coalesce(list(src) FILTER (src IS NOT NULL),
+    []) AS lower, rank IN (SELECT src FROM links) AS asked FROM nodes LEFT JOIN links ON dst = rank GROUP BY rank), walk(rank, kept,
+    root) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]), CAST(0 AS BIGINT) UNION ALL SELECT b.rank, CASE WHEN asked AND
+    list_min(list_intersect(lower, kept)) IS NULL THEN list_append(kept, b.rank) ELSE kept END, coalesce(list_min(list_intersect(lower,
+    kept)), b.rank) FROM walk JOIN before b ON b.rank = walk.rank + 1), m AS (SELECT n.sequence, k.sequence AS kept FROM walk JOIN
+    nodes n ON n.rank = walk.rank JOIN nodes k ON k.rank = walk.root) SELECT sample, kept AS sequence,
     CAST(sum(reads) AS BIGINT) AS reads FROM ragged JOIN m USING (sequence) GROUP BY ALL""",
 )
 def _(spark, sf):
@@ -410,37 +412,22 @@ def _(spark, sf):
 
 
 def _write_named(lines, folder):
-    """Log lines to files of their own name, each task its files."""
-
-    def write(batches):
-        import os
-
-        import pandas as pd
-
-        os.makedirs(folder, exist_ok=True)
-        n = 0
-        for pdf in batches:
-            for name, part in pdf.groupby("file", sort=False):
-                with open(f"{folder}/{name.rsplit('/', 1)[-1]}", "a") as out:
-                    out.write("".join(f"{v}\n" for v in part["value"]))
-                n += len(part)
-        yield pd.DataFrame({"n": [n]})
-
-    lines.repartition("file").sortWithinPartitions("file", "line_no").mapInPandas(write, "n long").collect()
+    """Log lines as one text file in a folder of each log's name."""
+    one = lines.select(F.element_at(F.split("file", "/"), -1).alias("log"), "line_no", "value")
+    one.repartition("log").sortWithinPartitions("log", "line_no").select("log", "value").write.partitionBy("log").text(folder)
 
 
 @query(
     "x1_live_tracking",
     ctes("trim")
-    + """ SELECT sample, 'raw' AS step, raw AS reads FROM trim WHERE raw IS NOT NULL UNION ALL SELECT sample, 'trimmed', greatest(trimmed,
-    2) FROM trim WHERE trimmed IS NOT NULL""",
+    + """ SELECT sample, 'raw' AS step, raw AS reads FROM trim WHERE raw IS NOT NULL UNION ALL SELECT sample, 'trimmed', trimmed FROM trim WHERE trimmed IS NOT NULL""",
 )
 def _(spark, sf):
     from tidemark.streaming import live_tracking as live
 
     folder = new_path(spark, "logs")
     _write_named(view(spark, sf, "trim_lines"), folder)
-    table = f"live_{uuid.uuid4().hex}"
-    stream = live.current_counts(live.watch_trim_logs(spark, folder))
-    live.start(stream, table, new_path(spark, "stream")).awaitTermination()
-    return spark.table(table)
+    stream = live.watch_trim_logs(spark, folder, name=F.col("log"))
+    out = new_path(spark, "live-counts")
+    live.start(stream, out, new_path(spark, "stream")).awaitTermination()
+    return live.read_counts(spark, out)

@@ -207,7 +207,7 @@ def _(spark, sf):
 @query(
     "j16_orphan_batches",
     """WITH m AS (SELECT concat('EXP', CAST(s_nationkey AS VARCHAR)) AS extraction_ID, s_suppkey % 10 = 1 AS blank,
-    s_suppkey % 10 > 1 AND s_suppkey % 25 <> 7 AS smp FROM supplier WHERE s_suppkey % 10 <> 0), g AS (SELECT
+    s_suppkey % 10 > 1 AND s_suppkey % 25 <> 7 AS smp FROM supplier), g AS (SELECT
     extraction_ID, bool_or(blank) AS b, bool_or(smp) AS s FROM m GROUP BY 1) SELECT extraction_ID, CASE WHEN b THEN
     'blank without sample' ELSE 'sample without blank' END AS kind FROM g WHERE b <> s""",
 )
@@ -217,7 +217,7 @@ def _(spark, sf):
         F.concat(F.lit("EXP"), F.col("s_nationkey").cast("string")).alias("batch"),
     )
     c = classify_control("eventID")
-    df = view(spark, sf, "samples").join(base, "sample_no").where("sample_no % 10 <> 0").select(
+    df = view(spark, sf, "samples").join(base, "sample_no").select(
         F.col("batch").alias("extraction_ID"),
         c["samp_category"].alias("samp_category"),
         c["neg_cont_type"].alias("neg_cont_type"),
@@ -321,11 +321,11 @@ def _(spark, sf):
 
 @query(
     "j17_samples_in_two_libraries",
-    """SELECT concat('S', user_id) AS sample, count(DISTINCT event_type) AS n_libraries FROM events WHERE value > 10
+    """SELECT concat('S', user_id) AS sample, count(DISTINCT event_type) AS n_libraries FROM events
     GROUP BY user_id HAVING count(DISTINCT event_type) > 1""",
 )
 def _(spark, sf):
-    files = spark.read.parquet(f"{sf}/events.parquet").where("value > 10").select(
+    files = spark.read.parquet(f"{sf}/events.parquet").select(
         F.concat(F.lit("/raw/"), "event_type", F.lit("/S"), F.col("user_id").cast("string"), F.lit("_R1.fastq")).alias("path")
     )
     return mf.ambiguous_samples(mf.libraries_from_paths(files, "/raw"))

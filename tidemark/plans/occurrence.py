@@ -475,11 +475,11 @@ def _(spark, sf):
 
 @query(
     "u3_spread_and_melt",
-    OCC + " SELECT sequence, eventID, CAST(sum(nb_reads) AS BIGINT) AS nb_reads FROM occ WHERE eventID IN "
-    "('Blank-PCR-0', 'CPOS7', 'DAR-2025-0002', 'DAR-2025-0003') GROUP BY ALL",
+    OCC + " SELECT sequence, eventID, CAST(sum(nb_reads) AS BIGINT) AS nb_reads FROM occ GROUP BY ALL",
 )
 def _(spark, sf):
-    names = ["Blank-PCR-0", "CPOS7", "DAR-2025-0002", "DAR-2025-0003"]
-    wide = oc.spread_counts(occurrences(spark, sf), ["sequence"], names)
+    rows = occurrences(spark, sf)
+    names = [r[0] for r in rows.select("eventID").distinct().orderBy("eventID").collect()]  # the columns of a wide sink
+    wide = oc.spread_counts(rows, ["sequence"], names)
     samples = oc.sample_columns(wide, (*RANKS, "sequence"))
     return oc.nonzero(oc.melt_counts(wide, ["sequence"], samples))

@@ -91,10 +91,9 @@ def _(spark, sf):
     )
 
 
-_WIDE = ("Blank-PCR-0", "CPOS7", "DAR-2025-0002", "DAR-2025-0003")
-_MATRIX = ctes("features", "counts", "samples") + f""",
+_MATRIX = ctes("features", "counts", "samples") + """,
 m AS (SELECT f.otu, f.asv_id, f.sequence, s.eventID AS sample, CAST(coalesce(c.reads, 0) AS BIGINT) AS reads FROM features f
-  CROSS JOIN (SELECT * FROM samples WHERE eventID IN {_WIDE}) s LEFT JOIN counts c ON c.asv_id = f.asv_id AND c.sample_no =
+  CROSS JOIN samples s LEFT JOIN counts c ON c.asv_id = f.asv_id AND c.sample_no =
   s.sample_no)"""
 
 
@@ -102,10 +101,11 @@ def _matrix_file(spark, sf):
     from tidemark.operators.occurrence import spread_counts
     from tidemark.plans.cleaning import counts
 
-    long = counts(spark, sf).where(F.col("eventID").isin(*_WIDE))
+    long = counts(spark, sf)
+    names = [r[0] for r in view(spark, sf, "samples").select("eventID").orderBy("eventID").collect()]
     features = view(spark, sf, "features").select("otu", "asv_id", "sequence")
     wide = spread_counts(
-        features.join(long, "asv_id", "left"), ["otu", "sequence"], _WIDE, value="reads"
+        features.join(long, "asv_id", "left"), ["otu", "sequence"], names, value="reads"
     )
     path = new_path(spark, "matrix")
     tables.write_table(wide.orderBy("otu").drop("otu"), path, "csv")
@@ -171,11 +171,11 @@ def _(spark, sf):
 
 @query(
     "s6_incomplete_lineages",
-    "SELECT concat('P', p_partkey) AS sseqid, p_size % 7 AS n_ranks FROM part WHERE p_size % 7 BETWEEN 1 AND 6",
+    "SELECT concat('P', p_partkey) AS sseqid, p_size % 7 AS n_ranks FROM part",
 )
 def _(spark, sf):
     size = F.col("p_size") % 7
-    df = spark.read.parquet(f"{sf}/part.parquet").where("p_size % 7 > 0").select(
+    df = spark.read.parquet(f"{sf}/part.parquet").select(
         F.concat(F.lit(">P"), F.col("p_partkey").cast("string"), F.lit("\t"), F.rtrim(F.repeat(F.lit("x;"), size), F.lit(";"))).alias("value")
     )
     return sequences.incomplete_lineages(
@@ -185,14 +185,16 @@ def _(spark, sf):
 
 # Cluster files from part and lineitem: seeds, members, calls.
 VIEWS["stats"] = """
-SELECT concat('A', CAST(p_partkey AS STRING)) AS seed, CAST(p_size * 10 AS BIGINT) AS mass, CAST(p_size AS BIGINT) AS
-  seed_abundance, CAST(p_size % 5 + 1 AS BIGINT) AS cloud FROM {part} WHERE p_partkey % 4 = 0"""
+SELECT concat('A', CAST(seed_no AS STRING)) AS seed, CAST(s * 10 AS BIGINT) AS mass, CAST(s AS BIGINT) AS seed_abundance,
+  CAST(s % 5 + 1 AS BIGINT) AS cloud FROM (SELECT p_partkey - p_partkey % 4 AS seed_no, max(CASE WHEN p_partkey % 4 = 0 THEN p_size END)
+  AS s FROM {part} GROUP BY p_partkey - p_partkey % 4) g WHERE s IS NOT NULL"""
 VIEWS["members"] = """
 SELECT concat('A', CAST(p_partkey - p_partkey % 4 AS STRING)) AS seed, concat('A', CAST(p_partkey AS STRING)) AS amplicon,
   p_partkey FROM {part}"""
 VIEWS["sizes"] = """
-SELECT concat('sample', CAST(l_suppkey % 7 AS STRING)) AS sample, concat('A', CAST(l_partkey AS STRING)) AS amplicon,
-  CAST(sum(l_quantity) AS BIGINT) AS size FROM {lineitem} WHERE l_partkey % 6 <> 5 GROUP BY l_suppkey % 7, l_partkey"""
+SELECT concat('sample', CAST(l_suppkey % 7 AS STRING)) AS sample, concat('A', CAST(part_no AS STRING)) AS amplicon,
+  CAST(sum(l_quantity) AS BIGINT) AS size FROM (SELECT *, CASE WHEN l_partkey % 6 = 5 THEN l_partkey - 1 ELSE l_partkey END AS part_no
+  FROM {lineitem}) l GROUP BY l_suppkey % 7, part_no"""
 VIEWS["reps"] = """
 SELECT concat('A', CAST(p_partkey AS STRING)) AS seed, translate(md5(CAST(p_partkey AS STRING)), '0123456789abcdef',
   'ACGTACGTACGTACGT') AS sequence FROM {part} WHERE p_partkey % 4 = 0 AND p_partkey % 36 <> 8"""
@@ -282,8 +284,8 @@ def _(spark, sf):
     df.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False).csv(path)
     back = tables.read_text_table(spark, path)
-    chosen, *_ = tables.map_headers(back.columns, FIELD_ALIASES, EXPECTED_UNMAPPED, UNMAPPED_PREFIXES)
-    named = tables.rename_headers(back, chosen)
+    outcomes = tables.header_outcomes(back.columns, FIELD_ALIASES, EXPECTED_UNMAPPED, UNMAPPED_PREFIXES)
+    named = tables.rename_headers(back, outcomes)
     return named.withColumn("extraction_ID", F.nullif("extraction_ID", F.lit("")))
 
 

@@ -45,15 +45,16 @@ SELECT concat('REF', CAST(n_nationkey AS STRING)) AS sseqid, 'Metazoa' AS kingdo
   concat('G', CAST(CAST(floor(n_nationkey / 2) AS BIGINT) AS STRING)) AS genus,
   concat('S', CAST(n_nationkey AS STRING)) AS species
 FROM {nation}""",
+    # every 5th part's hits belong to the next one, so every 5th feature has none
     "hits": """
-SELECT concat('OTU_', CAST(l_partkey + 1 AS STRING)) AS qseqid,
+SELECT concat('OTU_', CAST(part_no + 1 AS STRING)) AS qseqid,
   concat('REF', CAST((l_suppkey + l_linenumber) % 25 AS STRING)) AS sseqid,
   CAST(80 AS DOUBLE) + CAST(CAST(round(l_extendedprice * 100) AS BIGINT) % 2001 AS DOUBLE) / 100
     AS pident,
   CAST(100 + CAST(round(l_extendedprice * 100) AS BIGINT) % 21 AS DOUBLE) AS bitscore,
-  row_number() OVER (PARTITION BY l_partkey
+  row_number() OVER (PARTITION BY part_no
     ORDER BY l_orderkey, l_linenumber, l_suppkey, l_extendedprice) AS hit_no
-FROM {lineitem} WHERE l_partkey % 5 <> 0""",
+FROM (SELECT *, CASE WHEN l_partkey % 5 = 0 THEN l_partkey + 1 ELSE l_partkey END AS part_no FROM {lineitem}) l""",
     "reads": f"""
 SELECT event_id AS read_no, concat('S', CAST(user_id % 12 AS STRING)) AS sample,
   CASE WHEN event_id % 5 = 0

@@ -2,45 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.sources.logs import trim_log_lines
+from tidemark.sources.logs import PASS1, PASS2, first_count
+from tidemark.sources.text import file_name
 
 
-def watch_trim_logs(spark: SparkSession, folder: str, delay: str = "1 hour", files_per_trigger: int = 1000) -> DataFrame:
-    """Stream of ``(sample, step, n)`` from a folder of trim logs.
+def watch_trim_logs(
+    spark: SparkSession, folder: str, files_per_trigger: int = 1000, name: Column | None = None
+) -> DataFrame:
+    """Stream of ``(sample, step, reads)``: the first count line of every log that arrives.
 
-    A line is keyed by file and text, so a log that is read again within the watermark counts
-    once.
+    A log is one row, so its first line is known without state and a log that arrives late, or
+    with an old time stamp, counts like any other. ``name`` is the log's name where it is not
+    that of the file.
     """
-    lines = (
+    logs = (
         spark.readStream.format("text")
+        .option("wholetext", True)
         .option("maxFilesPerTrigger", files_per_trigger)
+        .option("maxFileAge", "36500d")  # by default, logs a week older than the newest are ignored
         .load(folder)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_modification_time").alias("seen_at"),
-            "value",
-        )
+        .withColumn("_log", F.col("_metadata.file_path"))
     )
-    parsed = trim_log_lines(lines, "file", "seen_at", "value").where("n IS NOT NULL")
-    once = parsed.withWatermark("seen_at", delay).dropDuplicatesWithinWatermark(["file", "value"])
-    return once.select("sample", F.when(F.col("pass_no") == 1, "raw").otherwise("trimmed").alias("step"), "n")
+    named = file_name("_log") if name is None else name
+    step = F.when(named.endswith(PASS1), "raw").when(named.endswith(PASS2), "trimmed")
+    return logs.select(
+        F.regexp_replace(named, r"_trim_pass[12]\.txt$", "").alias("sample"),
+        step.alias("step"),
+        F.when(step == "raw", first_count("value", 1)).otherwise(first_count("value", 2)).alias("reads"),
+    ).where("step IS NOT NULL AND reads IS NOT NULL")
 
 
-def current_counts(stream: DataFrame) -> DataFrame:
-    """Running maximum per sample and step, for an update-mode sink."""
-    return stream.groupBy("sample", "step").agg(F.max("n").alias("reads"))
-
-
-def start(counts: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Run over what is there now and stop: restart it to pick up later files."""
+def start(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append what is there now to a Parquet folder and stop: restart it to pick up later logs."""
     return (
-        counts.writeStream.outputMode("complete")
-        .format("memory")
-        .queryName(table)
+        counts.writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def read_counts(spark: SparkSession, path: str) -> DataFrame:
+    """What the stream has written so far."""
+    return spark.read.schema("sample string, step string, reads long").parquet(path)
