@@ -127,8 +127,8 @@ def write_token_files(
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for i in range(0, len(texts), 256):
-                for doc_id, ids in zip(doc_ids[i : i + 256], ids_of.encode(texts[i : i + 256]), strict=True):
+            for i in range(0, len(texts), 1024):
+                for doc_id, ids in zip(doc_ids[i : i + 1024], ids_of.encode(texts[i : i + 1024]), strict=True):
                     blocks.add(doc_id, ids + end)
                 if rows := list(blocks.take()):
                     yield pa.RecordBatch.from_pylist(rows, out_schema)
@@ -201,7 +201,8 @@ def read_token_parts(spark: SparkSession, files: TokenFiles) -> DataFrame:
                     [pa.array(v, pa.binary() if k == "ids" else pa.int64()) for k, v in out.items()], list(out)
                 )
 
-    return blocks.join(starts, "shard").mapInArrow(decode, schema)
+    # One row per shard, and a shard is a partition of the writing job: bounded, so broadcast.
+    return blocks.join(F.broadcast(starts), "shard").mapInArrow(decode, schema)
 
 
 def token_digests(spark: SparkSession, files: TokenFiles) -> DataFrame:

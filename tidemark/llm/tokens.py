@@ -4,19 +4,32 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Sequence
+from itertools import islice
 
 import numpy as np
 
 from tidemark.llm.common import slices
 
-#: Pieces kept per Python worker, and the longest piece kept; both bound memory only.
-CACHE_PIECES = 1 << 18
+#: Words and pieces of words kept per Python worker, and the longest word; they bound memory only.
+CACHE_WORDS, CACHE_PIECES = 80_000, 120_000
 CACHE_CHARS = 48
+#: Pieces that one call encodes together.
+GROUP = 200
 
 _OPEN: dict[tuple[str, str | None], PieceEncoder] = {}
 
 
+#: Where every supported tokenizer starts a new pre-token: between a letter and punctuation other
+#: than the apostrophe, and after a lone line break before a letter.
+_PUNCT = re.escape("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
+_CUT = re.compile(rf"(?<=[^\W\d_])(?=[{_PUNCT}])|(?:(?<=[{_PUNCT}])|(?<=\S\n))(?=[^\W\d_])")
+
+#: Punctuation that often ends a word; any other is found by the rule above.
+_STOPS = frozenset(".,;:!?")
+
+
 class PieceEncoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
@@ -24,11 +37,12 @@ class PieceEncoder:
     which decides where a text may be cut without changing its ids:
 
     * ``"dropped"``: white space only separates, so a text may be cut at every space;
-    * ``"leading"``: the space belongs to the piece after it. A text with double or edge white
+    * ``"leading"``: the space belongs to the word after it. A text with double or edge white
       space at such a cut is encoded whole;
     * ``None``: texts are never cut.
 
-    Pieces repeat, so each is encoded once per worker. The ids equal those of the whole text.
+    Words repeat, and so do the pieces of words between letters and punctuation, so each is
+    encoded once per worker. The ids equal those of the whole text.
     """
 
     def __init__(self, path: str, spaces: str | None) -> None:
@@ -37,25 +51,68 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.spaces = spaces
-        self.known: dict[str, bytes | None] = {}
-        self.first: dict[str, bytes | None] = {}
+        self.lead = " " if spaces == "leading" else ""
+        #: A special token between pieces lets one call encode many of them.
+        marks = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip)]
+        self.mark = min(marks, key=lambda m: m[1], default=None) if spaces == "dropped" else None
+        self.words: dict[str, bytes | None] = {}
+        self.heads: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _cut(self, word: str) -> list[str]:
+        if word[-1:] in _STOPS and word[:-1].isalpha() and "\u0130" not in word:
+            return [self.lead + word[:-1], word[-1]]
+        # Kept whole: what may hold a special token, and the one letter whose lower case ends in a mark.
+        if "<|" in word or "\u0130" in word:
+            return [self.lead + word]
+        return _CUT.split(self.lead + word)
 
     def _direct(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _learn(self, cache: dict[str, bytes | None], pieces: set[str], lead: str) -> list[str]:
-        """Add unknown pieces to the cache; returns those to forget after the slice."""
-        new = list(pieces.difference(cache))
-        if self.spaces == "leading":
-            bad = [p for p in new if not p or p[0].isspace() or p[-1].isspace()]
-            cache.update(dict.fromkeys(bad))
-            good = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()]
-        else:
-            good = new
-        cache.update(zip(good, self._direct([lead + p for p in good]), strict=True))
-        room = max(0, CACHE_PIECES - len(cache) + len(new))
-        return [p for i, p in enumerate(new) if i >= room or len(p) > CACHE_CHARS]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _marked(self, pieces: list[str]) -> list[bytes]:
+        text, mark = self.mark
+        groups = [text.join(pieces[i : i + GROUP]) for i in range(0, len(pieces), GROUP)]
+        out: list[bytes] = []
+        for found in self.tokenizer.encode_batch_fast(groups, add_special_tokens=False):
+            ids = np.array(found.ids, "<u4")
+            cuts, data = (4 * np.flatnonzero(ids == mark)).tolist(), ids.tobytes()
+            out += [data[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(data)], strict=True)]
+        return out
+
+    def _learn_pieces(self, cache: dict[str, bytes], pieces: set[str]) -> list[str]:
+        """Encode unknown pieces; returns those to forget after the slice."""
+        new = pieces.difference(cache)
+        room = max(0, CACHE_PIECES - len(cache))
+        forget = list(islice(new, room, None))
+        if self.mark:
+            plain = [p for p in new if "<" not in p]
+            cache.update(zip(plain, self._marked(plain), strict=True))
+            new = new.difference(plain)
+        rest = list(new)
+        cache.update(zip(rest, self._direct(rest), strict=True))
+        return forget
+
+    def _learn(self, words: set[str]) -> list[str]:
+        """Look up unknown words by their pieces; returns those to forget after the slice."""
+        new = list(words.difference(self.words))
+        good = new
+        if self.lead:
+            good = [w for w in new if w and not w[0].isspace() and not w[-1].isspace()]
+            if len(good) < len(new):
+                self.words.update(dict.fromkeys(set(new).difference(good)))
+        cut = [[self.lead + w] if w.isalpha() else self._cut(w) for w in good]
+        heads = self._learn_pieces(self.heads, {c[0] for c in cut})
+        pieces = self._learn_pieces(self.pieces, {p for c in cut if len(c) > 1 for p in c[1:]})
+        head, piece = self.heads, self.pieces.__getitem__
+        for w, c in zip(good, cut, strict=True):
+            self.words[w] = head[c[0]] if len(c) == 1 else b"".join((head[c[0]], *map(piece, c[1:])))
+        for known, forget in ((self.heads, heads), (self.pieces, pieces)):
+            for p in forget:
+                del known[p]
+        room = max(0, CACHE_WORDS - len(self.words) + len(new))
+        return [w for i, w in enumerate(new) if i >= room or len(w) > CACHE_CHARS]
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -67,24 +124,20 @@ class PieceEncoder:
         if self.spaces is None:
             return self._direct(list(texts))
         split = [t.split(" ") for t in texts]
-        forget = []
-        if self.spaces == "dropped":
-            forget.append((self.known, self._learn(self.known, set().union(*split), "")))
-            get = self.known.__getitem__
-            out = [b"".join(map(get, pieces)) for pieces in split]
+        if self.lead:
+            forget = self._learn(set().union(*(p[1:] for p in split)))
+            heads = self._direct([p[0] for p in split])
+            get, out = self.words.__getitem__, []
+            for text, words, head in zip(texts, split, heads, strict=True):
+                rest = list(map(get, words[1:]))
+                odd = rest and (not words[0] or words[0][-1].isspace()) or None in rest
+                out.append(self._direct([text])[0] if odd else head + b"".join(rest))
         else:
-            forget.append((self.first, self._learn(self.first, {p[0] for p in split}, "")))
-            forget.append((self.known, self._learn(self.known, set().union(*(p[1:] for p in split)), " ")))
-            get, out = self.known.__getitem__, []
-            for text, pieces in zip(texts, split, strict=True):
-                head, rest = self.first[pieces[0]], list(map(get, pieces[1:]))
-                if head is None and len(pieces) == 1 or head is None or None in rest:
-                    out += self._direct([text]) if text else [b""]
-                else:
-                    out.append(head + b"".join(rest))
-        for cache, pieces in forget:
-            for piece in pieces:
-                del cache[piece]
+            forget = self._learn(set().union(*split))
+            get = self.words.__getitem__
+            out = [b"".join(map(get, words)) for words in split]
+        for word in forget:
+            del self.words[word]
         return out
 
 
