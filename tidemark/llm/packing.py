@@ -19,9 +19,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Observation, Window, functions as F
 
-from tidemark.llm.common import parts, stored
+from tidemark.llm.common import stored
 from tidemark.llm.tokens import encoder, local_path
 
 SEQUENCE_TOKENS = 2048
@@ -73,7 +73,7 @@ def _local_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def match_round(events: DataFrame) -> DataFrame:
     """``(size, gap, id, mate, mate_size)``: every piece and gap with what it is matched to."""
     swept = stored(
-        events.repartitionByRange(parts(events.sparkSession), "size", "gap", "id")
+        events.repartitionByRange("size", "gap", "id")  # adaptive execution merges small partitions
         .sortWithinPartitions("size", "gap", "id")
         .mapInPandas(
             _local_sums, "size long, gap boolean, id long, part int, pos long, local long, step long"
@@ -100,7 +100,8 @@ def pack(pieces: DataFrame, limit: int = SEQUENCE_TOKENS) -> DataFrame:
     """Pieces plus ``sequence_id`` and ``offset``: their place in a sequence of ``limit`` tokens.
 
     The first round opens as many sequences as the tokens need at least. Later rounds open more
-    only for tokens that all open gaps together cannot hold, or when nothing fits any more.
+    only for tokens that all open gaps together cannot hold, or when nothing fits any more. Gaps
+    that could take nothing are closed.
     Pieces of full length are sequences by themselves. Pieces of no tokens do not occur, as
     every document ends with an end id; a longer piece than ``limit`` is an error.
     """
@@ -116,31 +117,38 @@ def pack(pieces: DataFrame, limit: int = SEQUENCE_TOKENS) -> DataFrame:
     waiting = items.where(F.col("length") < limit).select(F.col("length").alias("size"), F.col("_item").alias("id"))
     gaps = None
     placed: list[DataFrame] = []
-    opened, progress = 0, True
-    need = waiting.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("tokens")).first()
-    n, tokens, room = need["n"], need["tokens"] or 0, 0
+    opened = 0
+    first = waiting.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("tokens"), F.min("size").alias("least")).first()
+    n, tokens, least, room, widest = first["n"], first["tokens"] or 0, first["least"] or 0, 0, 0
     while n:
         fresh = max(0, math.ceil((tokens - room) / limit))
-        if not progress and not fresh:
+        if widest < least and not fresh:
             fresh = math.ceil(tokens / limit)
         new_gaps = spark.range(opened, opened + fresh).select(F.lit(limit).cast("long").alias("size"), "id")
         opened += fresh
         gaps = new_gaps if gaps is None else gaps.union(new_gaps)
         events = waiting.select("size", F.lit(False).alias("gap"), "id").union(gaps.select("size", F.lit(True), "id"))
-        done = stored(match_round(events), "pack-round")
-        took = done.where(~F.col("gap") & F.col("mate").isNotNull())
-        placed.append(took.select(F.col("id").alias("_item"), F.col("mate").alias("sequence_id"), (F.lit(limit) - F.col("mate_size")).alias("offset")))
-        waiting = done.where(~F.col("gap") & F.col("mate").isNull()).select("size", "id")
         left = F.col("size") - F.coalesce("mate_size", F.lit(0))
-        gaps = done.where("gap").select(left.alias("size"), "id").where("size > 0")
         piece = ~F.col("gap") & F.col("mate").isNull()
-        state = done.agg(
-            F.count_if(piece).alias("n"),
-            F.sum(F.when(piece, F.col("size"))).alias("tokens"),
-            F.sum(F.when(F.col("gap"), left)).alias("room"),
-        ).first()
-        progress = state["n"] < n
-        n, tokens, room = state["n"], state["tokens"] or 0, state["room"] or 0
+        seen = Observation()
+        done = stored(
+            match_round(events).observe(
+                seen,
+                F.count_if(piece).alias("n"),
+                F.sum(F.when(piece, F.col("size"))).alias("tokens"),
+                F.min(F.when(piece, F.col("size"))).alias("least"),
+                F.sum(F.when(F.col("gap"), left)).alias("room"),
+                F.max(F.when(F.col("gap"), left)).alias("widest"),
+            ),
+            "pack-round",
+        )
+        took = done.where(~F.col("gap") & F.col("mate").isNotNull())
+        placed.append(took.select(F.col("id").alias("_item"), F.col("mate").alias("sequence_id"), (F.lit(limit) - F.col("mate_size")).alias("offset")))
+        state = {k: v or 0 for k, v in seen.get.items()}
+        n, tokens, least, room, widest = (state[k] for k in ("n", "tokens", "least", "room", "widest"))
+        waiting = done.where(piece).select("size", "id")
+        # A gap below the smallest waiting piece can take nothing any more.
+        gaps = done.where("gap").select(left.alias("size"), "id").where(F.col("size") >= max(1, least))
     if not placed:
         return full
     places = placed[0]
