@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import decontaminate, jaccard_join, language, line_dedup, packing
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import free_names, stored, table
 from tidemark.llm.queries import BYTE_BPE
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -21,8 +21,9 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Without a usable label nothing can be recognised, and no document stays.
     """
-    found = language.predict(docs, language.fit(docs), text="text", out=("_lang", "_score"))
-    return found.where((F.col("_lang") != language.UNKNOWN) & (F.col("_score") >= LEAST_SCORE)).select(*docs.columns)
+    lang, score = free_names(docs, "found_lang", "found_score")
+    found = language.predict(docs, language.fit(docs), out=(lang, score))
+    return found.where((F.col(lang) != language.UNKNOWN) & (F.col(score) >= LEAST_SCORE)).select(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

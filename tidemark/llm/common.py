@@ -6,18 +6,18 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.session import new_path
 
 #: Texts are handled in slices of about so many characters, so memory follows the slice.
-SLICE_CHARS = 1 << 21
+SLICE_CHARS = 1 << 20
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _M1 = np.uint64(0xFF51AFD7ED558CCD)
 _M2 = np.uint64(0xC4CEB9FE1A85EC53)
 _S33 = np.uint64(33)
-_WORD_CACHE = 1 << 19
+_WORD_CACHE = 1 << 17
 
 
 def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
@@ -40,6 +40,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before those that a column of ``df`` has already."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def without_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose doc_id the first column of ``gone`` lists; null ids stay."""
+    (key,) = free_names(docs, "gone_id")
+    return docs.join(gone.toDF(key), F.col("doc_id") == F.col(key), "left_anti")
+
+
 def parts(spark: SparkSession) -> int:
     """Partitions of the packed exchanges: the session's setting, which follows the data."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import stored, without_ids
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -111,7 +111,8 @@ def find_passages(
         F.col("_z.shingles").alias("h"), F.col("_z.weights").alias("w")
     ).distinct()
     starts = windows.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n_words", "size")).alias("_w"))
-    texts = known.join(starts, "doc_id").withColumn("words", words_of(F.col("text"))).drop("text")
+    # By shuffle at every size: the windows grow with the documents.
+    texts = known.join(starts.hint("merge"), "doc_id").withColumn("words", words_of(F.col("text"))).drop("text")
     each = texts.select("doc_id", "words", F.explode("_w").alias("_v")).select(
         "doc_id",
         F.col("_v.start").alias("start"),
@@ -163,5 +164,4 @@ def find_passages(
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a benchmark passage; null ids stay."""
-    hits = find_passages(docs, benchmark).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(hits, F.col("doc_id") == F.col("_id"), "left_anti")
+    return without_ids(docs, find_passages(docs, benchmark).select("doc_id").distinct())

@@ -13,16 +13,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from tidemark.llm.common import mixed, parts, slices
 
-SLICE = 1 << 23
+SLICE = 1 << 22
 #: From the columns of a slice of documents to the tokens of each.
 Features = Callable[..., list[np.ndarray]]
 #: Which tokens are answered: those that another document holds, that a document with a smaller id
-#: holds, or that occur twice anywhere.
-OTHERS, EARLIER, TWICE = "others", "earlier", "twice"
+#: holds, or that occur twice anywhere (``COUNTS``: with how often).
+OTHERS, EARLIER, TWICE, COUNTS = "others", "earlier", "twice", "counts"
 
 
 def pack_tokens(tokens: np.ndarray, width: int) -> bytes:
@@ -74,11 +74,12 @@ def scatter(docs: DataFrame, features: Features, width: int, slice_size: int = S
 
 
 def answers(packed: DataFrame, width: int, rule: str) -> DataFrame:
-    """``(doc_id, tokens, firsts)`` per document and bucket, as arrays.
+    """``(doc_id, tokens, firsts)``: one row for each document with tokens that the rule selects.
 
-    The tokens that the rule selects; for ``EARLIER`` also the smallest id that holds each.
+    ``firsts`` has for ``EARLIER`` the smallest id that holds each token, for ``COUNTS`` their
+    number. Answers go back packed, too: one row per bucket and group of documents.
     """
-    earlier = rule == EARLIER
+    buckets = parts(packed.sparkSession)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, tokens = [], []
@@ -93,41 +94,66 @@ def answers(packed: DataFrame, width: int, rule: str) -> DataFrame:
             return
         doc, token = np.concatenate(docs), np.concatenate(tokens)
         del docs, tokens
-        order = np.lexsort((doc, token)) if earlier else np.argsort(token)
+        order = np.lexsort((doc, token)) if rule == EARLIER else np.argsort(token)
         doc, token = doc[order], token[order]
         starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
         sizes = np.diff(np.append(starts, len(token)))
         first = np.repeat(np.minimum.reduceat(doc, starts), sizes)
-        if earlier:
+        if rule == EARLIER:
             keep = doc > first
-        elif rule == TWICE:
-            keep = np.repeat(sizes, sizes) > 1
+        elif rule in (TWICE, COUNTS):
+            first = np.repeat(sizes, sizes)
+            keep = first > 1
         else:
             keep = np.repeat(np.maximum.reduceat(doc, starts), sizes) > first
         doc, token, first = doc[keep], token[keep], first[keep]
+        for group, at in grouped(doc, buckets):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([group], pa.int32()),
+                    pa.array([doc[at].astype("<i8").tobytes()], pa.binary()),
+                    pa.array([pack_tokens(token[at], width)], pa.binary()),
+                    pa.array([first[at].astype("<i8").tobytes() if rule in (EARLIER, COUNTS) else b""], pa.binary()),
+                ],
+                ["bucket", "docs", "tokens", "firsts"],
+            )
+
+    def by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [row for batch in batches for row in batch.to_pylist()]
+        if not rows:
+            return
+        doc = np.concatenate([np.frombuffer(r["docs"], "<i8") for r in rows])
+        raw = np.concatenate([np.frombuffer(r["tokens"], np.uint8) for r in rows]).reshape(-1, width)
+        first = np.concatenate([np.frombuffer(r["firsts"], "<i8") for r in rows])
+        del rows
         order = np.argsort(doc, kind="stable")
-        doc, token, first = doc[order], token[order], first[order]
-        edges = np.append(np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1]))), len(doc)) if len(doc) else [0]
-        for a in range(0, len(edges) - 1, 1 << 14):
-            at = list(zip(edges[a : a + (1 << 14)], edges[a + 1 : a + 1 + (1 << 14)], strict=False))
+        doc, raw = doc[order], raw[order]
+        first = first[order] if len(first) else first
+        edges = np.append(np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1]))), len(doc))
+        for a in range(0, len(edges) - 1, 1 << 12):
+            at = list(zip(edges[a : a + (1 << 12)], edges[a + 1 : a + 1 + (1 << 12)], strict=False))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([int(doc[x]) for x, _ in at], pa.int64()),
-                    pa.array([pack_tokens(token[x:y], width) for x, y in at], pa.binary()),
-                    pa.array([first[x:y].astype("<i8").tobytes() if earlier else None for x, y in at], pa.binary()),
+                    pa.array([raw[x:y].tobytes() for x, y in at], pa.binary()),
+                    pa.array([first[x:y].tobytes() for x, y in at], pa.binary()),
                 ],
                 ["doc_id", "tokens", "firsts"],
             )
 
-    buckets = parts(packed.sparkSession)
-    return packed.repartition(buckets, "bucket").mapInArrow(meet, "doc_id long, tokens binary, firsts binary")
+    found = packed.repartition(buckets, "bucket").mapInArrow(meet, "bucket int, docs binary, tokens binary, firsts binary")
+    return found.repartition(buckets, "bucket").mapInArrow(by_document, "doc_id long, tokens binary, firsts binary")
 
 
-def by_document(found: DataFrame) -> DataFrame:
-    """``(doc_id, tokens, firsts)`` with the arrays of all buckets, in one order, as lists."""
-    both = F.collect_list(F.struct("tokens", "firsts")).alias("_b")
-    return found.groupBy("doc_id").agg(both).select("doc_id", F.col("_b.tokens").alias("tokens"), F.col("_b.firsts").alias("firsts"))
+def grouped(doc: np.ndarray, groups: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(group, positions) of the groups by document hash that occur."""
+    of = ((mixed(doc.astype(np.uint64)) >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int32)
+    order = np.argsort(of, kind="stable")
+    cuts = np.searchsorted(of[order], np.arange(groups + 1))
+    for k in np.flatnonzero(np.diff(cuts)):
+        yield int(k), order[cuts[k] : cuts[k + 1]]
 
 
-def joined(blobs: list[bytes] | None, width: int) -> np.ndarray:
-    return unpack_tokens(b"".join(blobs), width) if blobs else np.empty(0, np.uint64)
+def joined(tokens: bytes | None, width: int) -> np.ndarray:
+    """The tokens of an answer; none where there was no answer."""
+    return unpack_tokens(tokens, width) if tokens else np.empty(0, np.uint64)

@@ -3,12 +3,13 @@
 1. Screen. Of each set the smallest hashes, the prefix for ``n // 10`` common tokens, go to
    buckets by hash, packed in arrays. A document of a pair shares ``least_shared(n)`` of them
    with its partner, so one whose prefix tokens occur too rarely elsewhere has no partner. What is
-   left are sets that others hold mostly, one for each group of equal sets.
-2. Multiple-global-order filtering. In the first order, tokens that the screen found in more than
-   ``HEAVY`` documents come last, else the hash decides; the other orders are other hashes. A pair
-   must share a prefix token in every order before its sets are compared.
+   left are sets that others hold mostly, one for each group of equal sets; for these the tokens
+   are counted. A token that only one set holds bounds what it can share with any other.
+2. Multiple-global-order filtering. In the first order rarer tokens come first; the other orders
+   are hashes. A pair must share a prefix token in every order before its sets are compared.
 3. No pairs within a group. A bucket of the first order first offers its members to one hub
-   each; links merge groups, and only members of different groups of a bucket are paired later.
+   each, the set with the fewest tokens of its own; links merge groups, and only members of
+   different groups of a bucket are paired later, if what both can share allows a link.
 """
 
 from __future__ import annotations
@@ -16,23 +17,25 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import mixed, parts, run_hashes, slices, stored, word_hashes
+from tidemark.llm.common import mixed, parts, run_hashes, slices, stored, without_ids, word_hashes
 from tidemark.llm.components import components
+from tidemark.llm.exchange import COUNTS, answers, grouped, joined, pack_tokens, scatter, unpack_tokens
 
 SHINGLE_WORDS = 5
 #: Links: 100 * intersection >= PERCENT * union.
 PERCENT = 80
-HEAVY = 64
 #: Order 2 and 3 sort tokens by the mixed hash of token xor salt.
 SALTS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Pairs up to this number may be broadcast to fetch their sets; more are joined by shuffle.
-SMALL_PAIRS = 20_000
+SMALL_PAIRS = 200_000
 HUB_ROUNDS = 2
+#: Bytes of a token that are kept to count its holders; a chance collision only costs work.
+WIDTH = 6
+_LOW = np.uint64(8 * (8 - WIDTH))
 
 
 def shingle_set(text: str | None, size: int = SHINGLE_WORDS) -> np.ndarray:
@@ -76,7 +79,7 @@ def _scatter(docs: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             doc_ids = batch.column(0).to_numpy(zero_copy_only=False)
             texts = batch.column(1).to_pylist()
-            for a, b in slices([t or "" for t in texts], 1 << 23):
+            for a, b in slices([t or "" for t in texts], 1 << 22):
                 ids, sizes, prints, refs, tokens = doc_ids[a:b], [], [], [], []
                 for i, text in enumerate(texts[a:b]):
                     found = shingle_set(text)
@@ -88,7 +91,6 @@ def _scatter(docs: DataFrame, buckets: int) -> DataFrame:
                 of = ((mixed(flat) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
                 order = np.argsort(of, kind="stable")
                 flat, ref, of = flat[order], ref[order], of[order]
-                six = np.ascontiguousarray(flat >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6]
                 cuts = np.searchsorted(of, np.arange(buckets + 1))
                 home = int(ids[0]) % buckets
                 out = []
@@ -105,7 +107,7 @@ def _scatter(docs: DataFrame, buckets: int) -> DataFrame:
                             "n": np.array(sizes, "<i4").tobytes() if here else None,
                             "prints": np.array(prints, "<i8").tobytes() if here else None,
                             "refs": (ref[x:y] if here else ref_k).astype("<u2" if b - a < 1 << 16 else "<u4").tobytes(),
-                            "tokens": six[x:y].tobytes(),
+                            "tokens": pack_tokens(flat[x:y], WIDTH),
                         }
                     )
                 kinds = [("bucket", pa.int32()), *((c, pa.binary()) for c in ("ids", "n", "prints", "refs", "tokens"))]
@@ -114,91 +116,117 @@ def _scatter(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.mapInArrow(rows, schema)
 
 
-def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document of a partition's buckets: how many of its tokens others hold, and heavy ones."""
-    ids, refs, tokens, base = [], [], [], 0
+def _gather(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Per bucket and group of documents: how many tokens of each document others hold."""
+    ids, refs, tokens, metas, base = [], [], [], [], 0
     for batch in batches:
         for row in batch.to_pylist():
             own = np.frombuffer(row["ids"], "<i8")
-            six = np.frombuffer(row["tokens"], np.uint8).reshape(-1, 6)
-            wide = np.zeros((len(six), 8), np.uint8)
-            wide[:, :6] = six
-            n = len(six)
-            kind = "<u2" if len(row["refs"]) == 2 * n else "<u4"
+            token = unpack_tokens(row["tokens"], WIDTH)
+            kind = "<u2" if len(row["refs"]) == 2 * len(token) else "<u4"
             ids.append(own)
             refs.append(np.frombuffer(row["refs"], kind).astype(np.int64) + base)
-            tokens.append(wide.view("<u8").reshape(-1))
+            tokens.append(token)
             base += len(own)
             if row["n"] is not None:
                 sizes, prints = np.frombuffer(row["n"], "<i4"), np.frombuffer(row["prints"], "<i8").reshape(-1, 2)
-                yield _found(own, sizes, prints[:, 0], prints[:, 1], None, None)
+                metas.append((own, sizes.astype(np.int64), prints[:, 0], prints[:, 1], np.zeros(len(own), np.int64)))
     if not base:
         return
     own, ref, token = np.concatenate(ids), np.concatenate(refs), np.concatenate(tokens)
     order = np.argsort(token)
     starts = np.flatnonzero(np.concatenate(([True], np.diff(token[order]) != 0))) if len(token) else np.empty(0, np.int64)
+    sizes = np.diff(np.append(starts, len(token)))
     counts = np.empty(len(token), np.int64)
-    counts[order] = np.repeat(np.diff(np.append(starts, len(token))), np.diff(np.append(starts, len(token))))
+    counts[order] = np.repeat(sizes, sizes)
     hits = np.bincount(ref[counts >= 2], minlength=base)
-    heavy = counts > HEAVY
-    h_ref, h_token = ref[heavy], token[heavy]
-    by = np.argsort(h_ref, kind="stable")
-    h_ref, h_token = h_ref[by], h_token[by]
     some = np.flatnonzero(hits)
-    cuts = np.searchsorted(h_ref, np.stack((some, some + 1)))
-    for a in range(0, len(some), 1 << 16):
-        at = some[a : a + (1 << 16)]
-        blobs = [h_token[x:y].astype("<u8").tobytes() if y > x else None for x, y in cuts[:, a : a + (1 << 16)].T]
-        yield _found(own[at], None, None, None, hits[at], blobs)
-
-
-def _found(ids, n, p1, p2, hits, heavy) -> pa.RecordBatch:
-    k = len(ids)
-    column = lambda x, t: pa.nulls(k, t) if x is None else pa.array(x, t)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(ids, pa.int64()), column(n, pa.int32()), column(p1, pa.int64()), column(p2, pa.int64()),
-            column(hits, pa.int64()), column(heavy, pa.binary()),
-        ],
-        ["doc_id", "n", "p1", "p2", "hits", "heavy"],
-    )
+    zero = np.zeros(len(some), np.int64)
+    metas.append((own[some], zero - 1, zero, zero, hits[some]))
+    columns = [np.concatenate(c) for c in zip(*metas, strict=True)]
+    names = ["doc_id", "n", "p1", "p2", "hits"]
+    for group, at in grouped(columns[0], buckets):
+        data = [pa.array([c[at].astype("<i8").tobytes()], pa.binary()) for c in columns]
+        yield pa.RecordBatch.from_arrays([pa.array([group], pa.int32()), *data], ["bucket", *names])
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document: its largest set and all its hits."""
+    names = ["doc_id", "n", "p1", "p2", "hits"]
+    rows = [row for batch in batches for row in batch.to_pylist()]
+    if not rows:
+        return
+    doc, n, p1, p2, hits = (np.concatenate([np.frombuffer(r[c], "<i8") for r in rows]) for c in names)
+    order = np.lexsort((p2, p1, n, doc))
+    doc, n, p1, p2, hits = (x[order] for x in (doc, n, p1, p2, hits))
+    starts = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
+    last = np.append(starts[1:], len(doc)) - 1
+    out = [doc[last], n[last], p1[last], p2[last], np.add.reduceat(hits, starts)]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names)
 
 
 def profiles(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n, p1, p2, hits, heavy)``: set size, fingerprint and screen of every document."""
+    """``(doc_id, n, p1, p2, hits)``: set size, fingerprint and screen of every document."""
     buckets = parts(docs.sparkSession)
     packed = _scatter(docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text"), buckets)
-    answers = packed.repartition(buckets, "bucket").mapInArrow(
-        _gather, "doc_id long, n int, p1 long, p2 long, hits long, heavy binary"
-    )
-    best = F.max(F.struct("n", "p1", "p2")).alias("_s")
-    merged = answers.groupBy("doc_id").agg(best, F.sum("hits").alias("hits"), F.collect_list("heavy").alias("heavy"))
-    return stored(
-        merged.select("doc_id", "_s.n", "_s.p1", "_s.p2", F.coalesce("hits", F.lit(0)).alias("hits"), "heavy"), "shingle-profiles"
+    counted = packed.repartition(buckets, "bucket").mapInArrow(
+        lambda batches: _gather(batches, buckets), "bucket int, doc_id binary, n binary, p1 binary, p2 binary, hits binary"
     )
+    merged = counted.repartition(buckets, "bucket").mapInArrow(_merge, "doc_id long, n int, p1 long, p2 long, hits long")
+    return stored(merged, "shingle-profiles")
 
 
 def _candidate_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(doc_id, n, tokens, prefix)`` of the wanted documents; prefix is that of the first order."""
+    """``(doc_id, n, tokens)`` of the wanted documents."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for row in batch.to_pylist():
                 tokens = shingle_set(row["text"])
-                if _set_print(tokens) != (row["p1"], row["p2"]):
-                    continue  # another row with this id
-                n = len(tokens)
-                length = n - least_overlap(n) + 1
-                lists = [np.frombuffer(h, "<u8") for h in row["heavy"]]
-                late = np.isin(tokens >> np.uint64(16), np.concatenate(lists)) if lists else np.zeros(n, bool)
-                first = np.concatenate((tokens[~late], tokens[late]))[:length]
-                out.append({"doc_id": row["doc_id"], "n": n, "tokens": tokens.tobytes(), "prefix": first.view(np.int64).tolist()})
-            kinds = [("doc_id", pa.int64()), ("n", pa.int32()), ("tokens", pa.binary()), ("prefix", pa.list_(pa.int64()))]
+                if _set_print(tokens) == (row["p1"], row["p2"]):  # else another row with this id
+                    out.append({"doc_id": row["doc_id"], "n": len(tokens), "tokens": tokens.tobytes()})
+            kinds = [("doc_id", pa.int64()), ("n", pa.int32()), ("tokens", pa.binary())]
+            yield pa.RecordBatch.from_pylist(out, pa.schema(kinds))
+
+    texts = docs.select("doc_id", "text").join(wanted.select("doc_id", "p1", "p2"), "doc_id")
+    return stored(texts.mapInArrow(rows, "doc_id long, n int, tokens binary"), "candidate-sets")
+
+
+def _prefixes(sets: DataFrame) -> DataFrame:
+    """``(doc_id, n, s, prefix)``: tokens that other sets hold, and the prefix of the first order.
+
+    Tokens of one set only come first in that order and match nothing, so the prefix keeps only
+    what follows them. A set that shares less than every link needs has none and is left out.
+    """
+
+    def tokens_of(column: list[bytes]) -> list[np.ndarray]:
+        return [np.frombuffer(x, np.uint64) for x in column]
+
+    counts = answers(scatter(sets.select("doc_id", "tokens"), tokens_of, WIDTH), WIDTH, COUNTS)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                tokens, n = np.frombuffer(row["tokens"], np.uint64), row["n"]
+                known, often = joined(row["known"], WIDTH), np.frombuffer(row["often"], "<i8")
+                order = np.argsort(known, kind="stable")
+                short = tokens >> _LOW << _LOW
+                at = np.minimum(np.searchsorted(known[order], short), len(known) - 1)
+                count = np.where(known[order][at] == short, often[order][at], 1)
+                shared = count > 1
+                s, length = int(shared.sum()), n - least_overlap(n) + 1
+                if s < least_overlap(n):
+                    continue
+                rest = tokens[shared][np.lexsort((tokens[shared], count[shared]))][: max(0, length - (n - s))]
+                out.append({"doc_id": row["doc_id"], "n": n, "s": s, "prefix": rest.view(np.int64).tolist()})
+            kinds = [("doc_id", pa.int64()), ("n", pa.int32()), ("s", pa.int32()), ("prefix", pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_pylist(out, pa.schema(kinds))
 
-    texts = docs.select("doc_id", "text").join(wanted.select("doc_id", "p1", "p2", "heavy"), "doc_id")
-    return texts.mapInArrow(rows, "doc_id long, n int, tokens binary, prefix array<bigint>").dropDuplicates(["doc_id"])
+    both = sets.join(counts.select("doc_id", F.col("tokens").alias("known"), F.col("firsts").alias("often")), "doc_id")
+    return both.select("doc_id", "n", "tokens", "known", "often").mapInArrow(rows, "doc_id long, n int, s int, prefix array<bigint>")
 
 
 def _order_prefix(tokens: np.ndarray, salt: int) -> np.ndarray:
@@ -245,23 +273,30 @@ def _label(rows: DataFrame, links: DataFrame | None) -> DataFrame:
     return rows.join(found, F.col("doc_id") == F.col("id"), "left").withColumn("label", F.coalesce("label", "doc_id")).drop("id")
 
 
+def _may_link(n1, s1, n2, s2):
+    """Whether sets of these sizes can link if a token is their first common one.
+
+    ``s`` counts a set's shared tokens from that token on, in the first order; common tokens are
+    among them. A pair that links passes at its first common token, so no link is lost.
+    """
+    both = F.least(s1, s2)
+    return F.lit(100) * both >= F.lit(PERCENT) * (n1 + n2 - both)
+
+
 def set_links(sets: DataFrame) -> DataFrame:
     """Links ``(a, b)`` that connect what the similarity connects; copies of a set occur once."""
-    entries = stored(sets.select("doc_id", "n", F.explode("prefix").alias("t")), "prefix-entries")
-    shared = entries.groupBy("t").agg(F.min("doc_id").alias("_lo"), F.max("doc_id").alias("_hi")).where("_lo < _hi")
-    entries = stored(entries.join(shared.select("t"), "t"), "prefix-shared")
+    placed = _prefixes(sets).select("doc_id", "n", F.col("s").alias("all_s"), F.posexplode("prefix").alias("at", "t"))
+    entries = stored(placed.select("doc_id", "n", "all_s", (F.col("all_s") - F.col("at")).alias("s"), "t"), "prefix-entries")
     links: DataFrame | None = None
-    fits = lambda x, y: F.lit(100) * F.least(x, y) >= F.lit(PERCENT) * F.greatest(x, y)
     for turn in range(HUB_ROUNDS):
         labelled = _label(entries, links)
-        rank = F.col("doc_id") if turn == 0 else F.xxhash64("doc_id", F.lit(turn))
-        hubs = labelled.groupBy("t").agg(
-            F.min(F.struct(rank.alias("r"), F.col("doc_id").alias("hub"), F.col("n").alias("hub_n"), F.col("label").alias("hub_label"))).alias("_h"),
-            F.min("label").alias("_l1"),
-            F.max("label").alias("_l2"),
+        rank = F.struct((F.col("n") - F.col("all_s")).alias("own"), F.col("doc_id").alias("d")) if turn == 0 else F.xxhash64("doc_id", F.lit(turn))
+        member = F.struct(rank.alias("r"), F.col("doc_id").alias("hub"), F.col("n").alias("hub_n"), F.col("s").alias("hub_s"), F.col("label").alias("hub_label"))
+        hubs = labelled.groupBy("t").agg(F.min(member).alias("_h"), F.min("label").alias("_l1"), F.max("label").alias("_l2"))
+        open_hubs = hubs.where("_l1 < _l2").select("t", "_h.hub", "_h.hub_n", "_h.hub_s", "_h.hub_label")
+        offers = labelled.join(open_hubs, "t").where(
+            (F.col("label") != F.col("hub_label")) & _may_link(F.col("n"), F.col("s"), F.col("hub_n"), F.col("hub_s"))
         )
-        open_hubs = hubs.where("_l1 < _l2").select("t", "_h.hub", "_h.hub_n", "_h.hub_label")
-        offers = labelled.join(open_hubs, "t").where((F.col("label") != F.col("hub_label")) & fits(F.col("n"), F.col("hub_n")))
         counted = offers.groupBy("doc_id", "hub").agg(F.count(F.lit(1)).alias("c"))
         if turn == 0:  # each document's most frequent hub
             counted = counted.groupBy("doc_id").agg(F.max_by("hub", F.struct("c", -F.col("hub"))).alias("hub"))
@@ -271,9 +306,11 @@ def set_links(sets: DataFrame) -> DataFrame:
     labelled = stored(_label(entries, links), "prefix-labelled")
     mixed_buckets = labelled.groupBy("t").agg(F.min("label").alias("_l1"), F.max("label").alias("_l2")).where("_l1 < _l2")
     rest = labelled.join(mixed_buckets.select("t"), "t")
-    left = rest.select("t", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-    right = rest.select("t", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    across = left.join(right, "t").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & fits(F.col("na"), F.col("nb")))
+    left = rest.select("t", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"), F.col("label").alias("la"))
+    right = rest.select("t", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"), F.col("label").alias("lb"))
+    across = left.join(right, "t").where(
+        (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _may_link(F.col("na"), F.col("sa"), F.col("nb"), F.col("sb"))
+    )
     pairs = stored(across.select("a", "b").distinct(), "cross-pairs")
     return stored(links.union(_verify(pairs, sets)), "set-links")
 
@@ -287,13 +324,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     known = profiles(docs)
     groups = known.where("n > 0").groupBy("n", "p1", "p2").agg(
-        F.min_by(F.struct("doc_id", "heavy"), "doc_id").alias("_r"), F.max("hits").alias("hits")
+        F.min("doc_id").alias("rep"), F.max("hits").alias("hits")
     )
     need = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * PERCENT / 100) / 10))
-    wanted = groups.where(F.col("hits") >= need).select("_r.doc_id", "n", "p1", "p2", "_r.heavy")
-    sets = stored(_candidate_sets(docs, wanted), "candidate-sets")
-    labels = components(set_links(sets))
-    reps = groups.select("n", "p1", "p2", F.col("_r.doc_id").alias("rep")).join(
+    wanted = groups.where(F.col("hits") >= need).select(F.col("rep").alias("doc_id"), "n", "p1", "p2")
+    labels = components(set_links(_candidate_sets(docs, wanted)))
+    reps = groups.select("n", "p1", "p2", "rep").join(
         labels.withColumnRenamed("id", "rep"), "rep", "left"
     )
     named = reps.select("n", "p1", "p2", F.coalesce("label", "rep").alias("component"))
@@ -304,5 +340,4 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one document, that of the smallest id, of every component."""
-    gone = near_duplicates(docs).where("component_id <> doc_id").select(F.col("doc_id").alias("_id"))
-    return docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    return without_ids(docs, near_duplicates(docs).where("component_id <> doc_id").select("doc_id"))

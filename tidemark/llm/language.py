@@ -122,7 +122,7 @@ class Models:
             if key[0] != "language":
                 self.row[key] = len(rows)
                 rows.append(w)
-        self.w = np.array(rows).reshape(len(rows), -1)
+        self.w = np.array(rows).reshape(len(rows), DIMENSIONS + 1)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and score: the family's softmax share times the mean chance in its pairs."""

@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import parts, stored
+from tidemark.llm.common import free_names, parts, stored
 
 MIN_KEY_CHARS = 10
 _BLANKS = b"\x09\x0a\x0b\x0c\x0d\x20"
@@ -139,13 +139,13 @@ def drop_lines(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
         rows = zip(text, n_bits, keep, strict=True)
         return pd.Series([b"\n".join(kept_lines(t, int(n), k)).decode() for t, n, k in rows], dtype=object)
 
-    marked = docs.join(bitmaps.select(F.col("doc_id").alias("_id"), "n_bits", "keep"), F.col("doc_id") == F.col("_id"), "left")
-    hit = F.col("keep").isNotNull()
+    key, n_bits, keep = free_names(docs, "bits_id", "n_bits", "keep")
+    marked = docs.join(bitmaps.select("doc_id", "n_bits", "keep").toDF(key, n_bits, keep), F.col("doc_id") == F.col(key), "left")
+    hit = F.col(keep).isNotNull()
     whole = marked.where(~hit).select(*docs.columns)
-    shorter = marked.where(hit).withColumn("text", cut("text", "n_bits", "keep"))
+    shorter = marked.where(hit).withColumn("text", cut("text", n_bits, keep))
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        shorter = shorter.withColumn("n_chars", F.length("text").cast(kind))
+        shorter = shorter.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return whole.union(shorter.select(*docs.columns))
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import run_hashes, slices, stored, word_hashes
-from tidemark.llm.exchange import EARLIER, OTHERS, answers, by_document, joined, scatter
+from tidemark.llm.exchange import EARLIER, OTHERS, answers, joined, scatter
 
 WINDOW_WORDS = 13
 SEED_WORDS = 7
@@ -48,7 +48,7 @@ def document_seeds(text: str | None, window: int, seed: int) -> np.ndarray:
     return np.unique(window_seeds(word_hashes(split_words(text)), window, seed))
 
 
-def shared_windows(text: str | None, seeds: list[bytes], window: int, seed: int) -> np.ndarray:
+def shared_windows(text: str | None, seeds: bytes, window: int, seed: int) -> np.ndarray:
     """Distinct hashes of the windows whose seed another document holds."""
     hashes = word_hashes(split_words(text))
     low = np.uint64(8 * (8 - SEED_WIDTH))
@@ -60,12 +60,12 @@ def earlier_windows(docs: DataFrame, window: int = WINDOW_WORDS, seed: int = SEE
     """``(doc_id, tokens, firsts)``: each document's windows that start in an earlier one."""
     known = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
     seeds = stored(
-        by_document(answers(scatter(known, lambda t: [document_seeds(x, window, seed) for x in t], SEED_WIDTH), SEED_WIDTH, OTHERS)),
+        answers(scatter(known, lambda t: [document_seeds(x, window, seed) for x in t], SEED_WIDTH), SEED_WIDTH, OTHERS),
         "phrase-seeds",
     ).select("doc_id", F.col("tokens").alias("seeds"))
     likely = known.join(seeds, "doc_id")
     packed = scatter(likely, lambda t, s: [shared_windows(*x, window, seed) for x in zip(t, s, strict=True)], WINDOW_WIDTH)
-    return stored(by_document(answers(packed, WINDOW_WIDTH, EARLIER)), "phrase-windows")
+    return stored(answers(packed, WINDOW_WIDTH, EARLIER), "phrase-windows")
 
 
 class _Letters:
@@ -141,7 +141,7 @@ def _per_document(
             for a, b in slices([t or "" for t in texts]):
                 documents = [split_words(t) for t in texts[a:b]]
                 passages = {
-                    i: passages_of(documents[i], joined(tokens[a + i], WINDOW_WIDTH), np.frombuffer(b"".join(firsts[a + i]), "<i8"), window)
+                    i: passages_of(documents[i], joined(tokens[a + i], WINDOW_WIDTH), np.frombuffer(firsts[a + i], "<i8"), window)
                     for i in range(b - a)
                     if tokens[a + i]
                 }

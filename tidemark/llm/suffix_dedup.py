@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from tidemark.llm.common import mixed, parts, slices, stored
-from tidemark.llm.exchange import TWICE, answers, by_document, joined, scatter
+from tidemark.llm.exchange import TWICE, answers, grouped, joined, scatter
 
 THRESHOLD = 400
 GRAM, WINDOW = 16, 96
@@ -181,7 +181,7 @@ def repeated_anchors(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     state, step = stored(anchor_names(docs, threshold), "suffix-anchors"), 0
     while True:
         pairs = lambda pos, rank, s=step: [_pairs(p, r, s, span)[1] for p, r in zip(pos, rank, strict=True)]
-        found = by_document(answers(scatter(state, pairs, NAME_WIDTH), NAME_WIDTH, TWICE))
+        found = answers(scatter(state, pairs, NAME_WIDTH), NAME_WIDTH, TWICE)
         seen = Observation()
         state = _ranked(state, found, step, span, seen)
         step = max(1, 2 * step)
@@ -269,24 +269,36 @@ def _segment_codes(likely: DataFrame, threshold: int) -> DataFrame:
         code = np.where(of_whole > 1, np.where(asks & (doc == first_doc), WHOLE_SHOWN, WHOLE), PART)
         keep = of_core > 1
         doc, whole, code = doc[keep], whole[keep], code[keep].astype(np.uint8)
+        for group, at in grouped(doc, buckets):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([group], pa.int32()), *(pa.array([x[at].tobytes()], pa.binary()) for x in (doc, whole, code))],
+                ["bucket", "docs", "keys", "codes"],
+            )
+
+    def by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [row for batch in batches for row in batch.to_pylist()]
+        if not rows:
+            return
+        doc, whole, code = (
+            np.concatenate([np.frombuffer(r[c], kind) for r in rows]) for c, kind in (("docs", "<i8"), ("keys", "<u8"), ("codes", np.uint8))
+        )
         order = np.argsort(doc, kind="stable")
         doc, whole, code = doc[order], whole[order], code[order]
-        edges = np.append(np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1]))), len(doc)) if len(doc) else np.zeros(1, int)
-        rows = [(int(doc[x]), whole[x:y].tobytes(), code[x:y].tobytes()) for x, y in zip(edges[:-1], edges[1:], strict=True)]
-        for a in range(0, len(rows), 1 << 14):
-            columns = zip(*rows[a : a + (1 << 14)], strict=True)
+        edges = np.append(np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1]))), len(doc))
+        out = [(int(doc[x]), whole[x:y].tobytes(), code[x:y].tobytes()) for x, y in zip(edges[:-1], edges[1:], strict=True)]
+        for a in range(0, len(out), 1 << 12):
+            columns = zip(*out[a : a + (1 << 12)], strict=True)
             kinds = [pa.int64(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["doc_id", "keys", "codes"])
 
     sent = likely.select("doc_id", "text", "pos", "rank").mapInArrow(send, "bucket int, docs binary, cores binary, wholes binary")
-    found = sent.repartition(buckets, "bucket").mapInArrow(meet, "doc_id long, keys binary, codes binary")
-    grouped = found.groupBy("doc_id").agg(F.collect_list(F.struct("keys", "codes")).alias("_b"))
-    return grouped.select("doc_id", F.col("_b.keys").alias("keys"), F.col("_b.codes").alias("codes"))
+    found = sent.repartition(buckets, "bucket").mapInArrow(meet, "bucket int, docs binary, keys binary, codes binary")
+    return found.repartition(buckets, "bucket").mapInArrow(by_document, "doc_id long, keys binary, codes binary")
 
 
-def _coded(whole: np.ndarray, keys: list[bytes], codes: list[bytes]) -> np.ndarray:
+def _coded(whole: np.ndarray, keys: bytes, codes: bytes) -> np.ndarray:
     """The code of each segment; 0 for one that nothing repeats."""
-    known, code = np.frombuffer(b"".join(keys), "<u8"), np.frombuffer(b"".join(codes), np.uint8)
+    known, code = np.frombuffer(keys, "<u8"), np.frombuffer(codes, np.uint8)
     order = np.argsort(known)
     at = np.minimum(np.searchsorted(known[order], whole), len(known) - 1)
     return np.where(known[order][at] == whole, code[order][at], 0)
@@ -321,7 +333,7 @@ def removed_ranges(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
                 out.append(np.concatenate((np.repeat(of(shown), 2), of(part))))
         return out
 
-    found = by_document(answers(scatter(coded.select("doc_id", "text", "pos", "rank", "keys", "codes"), strings, 8), 8, TWICE))
+    found = answers(scatter(coded.select("doc_id", "text", "pos", "rank", "keys", "codes"), strings, 8, SLICE), 8, TWICE)
     marked = coded.join(stored(found, "suffix-strings").select("doc_id", "tokens"), "doc_id", "left")
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
