@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import decontaminate, jaccard_join, language, line_dedup, packing
-from tidemark.llm.common import free_names, stored, table
+from tidemark.llm.common import bound_batches, free_names, stored, table
 from tidemark.llm.queries import BYTE_BPE
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -21,6 +21,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Without a usable label nothing can be recognised, and no document stays.
     """
+    bound_batches(spark)
     lang, score = free_names(docs, "found_lang", "found_score")
     found = language.predict(docs, language.fit(docs), out=(lang, score))
     return found.where((F.col(lang) != language.UNKNOWN) & (F.col(score) >= LEAST_SCORE)).select(*docs.columns)
@@ -28,6 +29,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the lines that a document with a smaller id holds."""
+    bound_batches(spark)
     return line_dedup.drop_lines(docs, line_dedup.keep_bitmaps(docs))
 
 
@@ -36,6 +38,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Documents without words and rows without doc_id are in no group and stay.
     """
+    bound_batches(spark)
     return jaccard_join.drop_duplicates(docs)
 
 
@@ -46,6 +49,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of every document with their places in sequences of 2048 tokens."""
+    bound_batches(spark)
     return packing.pack(packing.cut_pieces(docs, BYTE_BPE, "leading", end_id=0))
 
 

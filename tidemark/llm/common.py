@@ -12,6 +12,7 @@ from tidemark.session import new_path
 
 #: Texts are handled in slices of about so many characters, so memory follows the slice.
 SLICE_CHARS = 1 << 20
+BATCH_ROWS = 1000
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _M1 = np.uint64(0xFF51AFD7ED558CCD)
@@ -36,7 +37,15 @@ def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_ROWS`` rows: documents are long, and workers keep what they grew."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
