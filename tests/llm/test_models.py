@@ -209,6 +209,28 @@ def test_benchmark_passages(spark):
     assert kept == {d for d, _ in docs} - {d for d, _ in got}
 
 
+@pytest.mark.parametrize("held", [3, 50])
+def test_one_changed_word_in_a_repeated_item(spark, held):
+    r = random.Random(held)
+    line = lambda n: [f"v{r.randrange(10**6)}" for _ in range(n)]
+    copied, template = line(60), line(55)
+    items = [(i, " ".join(copied)) for i in range(held)]
+    items += [(100 + i, " ".join(template + line(5))) for i in range(held)]
+    items += [(200 + i, " ".join(line(60))) for i in range(5)]
+    docs, want = [], set()
+    for i, (item, text) in enumerate([items[0], items[held], items[held + 1], items[-1]] * 5):
+        passage = text.split()
+        passage[r.choice([20, 30, 40])] = "changed"
+        docs.append((i, " ".join(line(30) + passage + line(20))))
+        want |= {(i, item)} if item >= 100 else {(i, k) for k in range(held)}
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(x["doc_id"], x["item_id"]): x["similarity"] for x in decontaminate.find_passages(frame, bench).collect()}
+    assert want <= set(got)
+    assert all(got[k] >= 51 / 56 - 1e-6 for k in want)
+    assert decontaminate.drop_contaminated(frame, bench).count() == 0
+
+
 def test_no_documents_or_benchmark(spark):
     docs = spark.createDataFrame([(1, "a b c d e f"), (None, "a b c d e f")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "a b c d e f"), (None, "z")], "item_id long, text string")

@@ -5,7 +5,10 @@ one, shifted so that both agree. Every window gets a weighted SimHash. A multi-i
 fingerprints into ``radius + 1`` blocks: two within the radius agree in one block at least, so
 joining on block values finds all of them. The exact weighted shingle similarity then decides.
 
-A shingle weighs 1 / (items that hold it), so phrases common to many items count little.
+A shingle weighs 1 / (items that hold it), so phrases common to many items count little. A
+window's shingle that no item holds weighs as much as the item's mean shingle, so that copies of
+an item and shared templates do not make an edited word outweigh the rest. A passage counts when
+its weighted or its plain similarity is large enough.
 """
 
 from __future__ import annotations
@@ -35,6 +38,10 @@ def shingles_of(words: Column, size: Column) -> Column:
     return F.when(last >= 1, runs).otherwise(F.array().cast("array<bigint>"))
 
 
+def total(weights: Column) -> Column:
+    return F.aggregate(weights, F.lit(0.0), lambda a, x: a + x)
+
+
 def fingerprint(shingles: Column, weights: Column) -> Column:
     """SimHash: bit b is set where the weights of shingles with bit b outweigh the others."""
     pairs = F.arrays_zip(shingles.alias("h"), weights.alias("w"))
@@ -57,30 +64,34 @@ def blocks_of(print_: Column, radius: int) -> Column:
     return F.array(*cut)
 
 
-def prepared_items(benchmark: DataFrame) -> DataFrame:
-    """``(item_id, n_words, size, shingles, weights, print)`` of items with words."""
+def item_words(benchmark: DataFrame) -> DataFrame:
+    """``(item_id, item, words)`` of items with words; equal texts have the same ``item`` key."""
     words = benchmark.where(F.col("item_id").isNotNull()).select("item_id", words_of(F.col("text")).alias("words"))
-    items = words.select(
-        "item_id",
-        F.size("words").alias("n_words"),
-        F.least(F.lit(SHINGLE_WORDS), F.size("words")).alias("size"),
-        "words",
-    ).where("n_words > 0")
-    hashed = items.select("item_id", "n_words", "size", shingles_of(F.col("words"), F.col("size")).alias("shingles"))
-    each = hashed.select("item_id", "n_words", "size", F.posexplode("shingles").alias("at", "h"))
-    weight = each.groupBy("h").agg((F.lit(1.0) / F.count_distinct("item_id")).alias("w"))
-    back = each.join(weight, "h").groupBy("item_id", "n_words", "size").agg(
-        F.sort_array(F.collect_list(F.struct("at", "h", "w"))).alias("_s")
-    )
+    return words.where(F.size("words") > 0).select("item_id", F.xxhash64("words").alias("item"), "words").distinct()
+
+
+def prepared_items(named: DataFrame) -> DataFrame:
+    """``(item, n_words, size, shingles, weights, own, mean, print)``: a row for each distinct text.
+
+    ``own`` is the weight of all its shingles, ``mean`` that of one.
+    """
+    texts = named.groupBy("item", "words").agg(F.count_distinct("item_id").alias("n_items"))
+    sized = texts.select("*", F.size("words").alias("n_words"), F.least(F.lit(SHINGLE_WORDS), F.size("words")).alias("size"))
+    keys = ["item", "n_words", "size"]
+    each = sized.select(*keys, "n_items", F.posexplode(shingles_of(F.col("words"), F.col("size"))).alias("at", "h"))
+    holders = each.select("item", "size", "h", "n_items").distinct()
+    weight = holders.groupBy("size", "h").agg((F.lit(1.0) / F.sum("n_items")).alias("w"))
+    back = each.join(weight, ["size", "h"]).groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("at", "h", "w"))).alias("_s"))
     shingles, weights = F.transform("_s", lambda s: s["h"]), F.transform("_s", lambda s: s["w"])
-    return back.select("item_id", "n_words", "size", shingles.alias("shingles"), weights.alias("weights")).withColumn(
+    own = back.select(*keys, shingles.alias("shingles"), weights.alias("weights")).withColumn("own", total(F.col("weights")))
+    return own.withColumn("mean", F.col("own") / F.size("weights")).withColumn(
         "print", fingerprint(F.col("shingles"), F.col("weights"))
     )
 
 
 def seeded_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``(doc_id, start, n_words, size)``: windows of an item's size that share a shingle in place."""
-    places = items.select("size", "n_words", F.posexplode("shingles").alias("_at", "h"))
+    places = items.select("size", "n_words", F.posexplode("shingles").alias("_at", "h")).distinct()
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # 1 to 5
     words = docs.select("doc_id", words_of(F.col("text")).alias("words"))
     found = None
@@ -100,11 +111,13 @@ def find_passages(
     """``(doc_id, item_id, start, n_words, similarity)``: each document's best window per item.
 
     Similarity is the weight of the shingles that both hold, with multiplicity, over the larger
-    weight of the two; a window's shingle that no item holds weighs 1. Documents and items
+    weight of the two, once with weights and once with 1 for each; the larger of these counts. A
+    window's shingle that no item holds weighs as much as the item's mean shingle. Documents and items
     without words match nothing; items of fewer than five words are one shingle. Rows without
     an id take no part; rows that repeat an id add windows to it. Ties go to the earliest window.
     """
-    items = stored(prepared_items(benchmark), "benchmark-items")
+    named = stored(item_words(benchmark), "benchmark-names")
+    items = stored(prepared_items(named), "benchmark-items")
     known = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
     windows = stored(seeded_windows(known, items), "benchmark-windows")
     weight = items.select(F.explode(F.arrays_zip("shingles", "weights")).alias("_z")).select(
@@ -125,39 +138,45 @@ def find_passages(
         shingled.select(*keys, F.posexplode("shingles").alias("_at", "h"))
         .join(weight, "h", "left")
         .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(F.struct("_at", F.coalesce("w", F.lit(1.0)).alias("w")))).alias("_s"))
-        .select(*keys, F.transform("_s", lambda s: s["w"]).alias("weights"))
+        .agg(F.sort_array(F.collect_list(F.struct("_at", "w"))).alias("_s"), F.avg("w").alias("_mean"))
+        .select(*keys, F.transform("_s", lambda s: s["w"]).alias("weights"), "_mean")
     )
-    printed = stored(weighed.withColumn("print", fingerprint(F.col("shingles"), F.col("weights"))), "benchmark-prints")
+    # A window is compared with many items: in its fingerprint, its own mean stands for theirs.
+    filled = F.transform("weights", lambda w: F.coalesce(w, F.col("_mean"), F.lit(1.0)))
+    printed = stored(weighed.withColumn("print", fingerprint(F.col("shingles"), filled)).drop("_mean"), "benchmark-prints")
     left = printed.select("*", F.inline(blocks_of(F.col("print"), radius)))
     right = items.select(
-        "item_id", "n_words", F.col("print").alias("item_print"), F.inline(blocks_of(F.col("print"), radius))
+        "item", "n_words", F.col("print").alias("item_print"), F.inline(blocks_of(F.col("print"), radius))
     )
     near = (
         left.select("doc_id", "start", "n_words", "print", "block", "value")
         .join(right, ["n_words", "block", "value"])
         .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
-        .select("doc_id", "start", "n_words", "print", "item_id")
+        .select("doc_id", "start", "n_words", "print", "item")
         .distinct()
     )
     pairs = near.join(printed, ["doc_id", "start", "n_words", "print"]).join(
-        items.select("item_id", F.col("shingles").alias("_hs"), F.col("weights").alias("_ws")), "item_id"
+        items.select("item", "own", "mean", F.col("shingles").alias("_hs"), F.col("weights").alias("_ws")), "item"
     )
-    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
     times = lambda c, h: F.size(F.filter(c, lambda x: x == h))
-    both = F.array_distinct(F.arrays_zip(F.col("_hs").alias("h"), F.col("_ws").alias("w")))
-    shared = F.aggregate(
-        both,
-        F.lit(0.0),
-        lambda a, p: a + p["w"] * F.least(times(F.col("shingles"), p["h"]), times(F.col("_hs"), p["h"])),
+    both = F.transform(
+        F.array_distinct(F.arrays_zip(F.col("_hs").alias("h"), F.col("_ws").alias("w"))),
+        lambda p: F.struct(p["w"].alias("w"), F.least(times(F.col("shingles"), p["h"]), times(F.col("_hs"), p["h"])).alias("n")),
+    )
+    shared = F.aggregate("_both", F.lit(0.0), lambda a, p: a + p["w"] * p["n"])
+    held = F.aggregate("_both", F.lit(0), lambda a, p: a + p["n"])
+    window = total(F.transform("weights", lambda w: F.coalesce(w, F.col("mean"))))
+    weighted = shared / F.greatest(window, F.col("own"))
+    plain = held / F.greatest(F.size("_hs"), F.size("shingles"))
+    scored = pairs.withColumn("_both", both).select(
+        "doc_id", "item", "start", "n_words", F.round(F.greatest(weighted, plain), 9).alias("similarity")
     )
-    score = F.round(shared / F.greatest(total(F.col("weights")), total(F.col("_ws"))), 9)
     best = F.max(F.struct(F.col("similarity"), (-F.col("start")).alias("s"))).alias("_b")
+    found = scored.where(F.col("similarity") >= similarity).groupBy("doc_id", "item", "n_words").agg(best)
     return (
-        pairs.select("doc_id", "item_id", "start", "n_words", score.alias("similarity"))
-        .where(F.col("similarity") >= similarity)
+        found.join(named.select("item", "item_id"), "item")
         .groupBy("doc_id", "item_id", "n_words")
-        .agg(best)
+        .agg(F.max("_b").alias("_b"))
         .select("doc_id", "item_id", (-F.col("_b.s")).alias("start"), "n_words", F.col("_b.similarity").alias("similarity"))
     )
 
