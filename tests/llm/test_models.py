@@ -231,6 +231,60 @@ def test_one_changed_word_in_a_repeated_item(spark, held):
     assert decontaminate.drop_contaminated(frame, bench).count() == 0
 
 
+def plain_or_weighted(docs, items, least=0.8):
+    """Every start of every document against every item: (similarity, first best start)."""
+    grams = lambda w, k: [tuple(w[i : i + k]) for i in range(len(w) - k + 1)]
+    held = {i: (len(w), min(5, len(w)), grams(w, min(5, len(w)))) for i, t in items for w in [t.split()]}
+    often = Counter(g for _, _, gs in held.values() for g in set(gs))
+    out = {}
+    for doc, text in docs:
+        w = text.split()
+        for item, (n, k, gs) in held.items():
+            a, own = Counter(gs), sum(1 / often[g] for g in gs)
+            for start in range(len(w)):
+                window = grams(w[start : start + n], k)
+                b = Counter(window)
+                both = {g: min(a[g], b[g]) for g in a.keys() & b.keys()}
+                other = sum(1 / often[g] if g in often else own / len(gs) for g in window)
+                weighted = sum(c / often[g] for g, c in both.items()) / max(own, other)
+                score = round(max(weighted, sum(both.values()) / len(gs)), 9)
+                if both and score >= least:
+                    out[doc, item] = max(out.get((doc, item), (0, 0)), (score, -start))
+    return out
+
+
+def passages_found(spark, docs, items, **options):
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.find_passages(frame, bench, **options).collect()
+    return {(x["doc_id"], x["item_id"]): (x["similarity"], -x["start"]) for x in found}
+
+
+def same_passages(got, want):
+    assert set(got) == set(want)
+    assert all(math.isclose(got[k][0], want[k][0], abs_tol=1e-6) for k in want)
+    assert all(got[k][1] == want[k][1] for k in want)
+
+
+def test_passages_beyond_the_radius(spark):
+    r = random.Random(7)
+    line = lambda n: [f"v{r.randrange(10**6)}" for _ in range(n)]
+    # Phrases of other items, light, and few words of the item's own, heavy, at the end.
+    phrase = line(84)
+    items = [(i, " ".join(phrase + line(4 + i % 3))) for i in range(10)]
+    items += [(i, " ".join(line(r.choice([3, 12, 40])))) for i in range(10, 20)]
+    docs = []
+    for i in range(60):
+        passage = r.choice(items)[1].split()
+        for _ in range(r.choice([0, 1, 2])):
+            passage[r.randrange(len(passage))] = "changed"
+        docs.append((i, " ".join(line(10) + passage + line(10))))
+    want = plain_or_weighted(docs, items)
+    assert len(want) > 100
+    same_passages(passages_found(spark, docs, items), want)
+    same_passages(passages_found(spark, docs, items, radius=3), want)
+
+
 def test_no_documents_or_benchmark(spark):
     docs = spark.createDataFrame([(1, "a b c d e f"), (None, "a b c d e f")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "a b c d e f"), (None, "z")], "item_id long, text string")

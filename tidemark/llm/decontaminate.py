@@ -5,6 +5,11 @@ one, shifted so that both agree. Every window gets a weighted SimHash. A multi-i
 fingerprints into ``radius + 1`` blocks: two within the radius agree in one block at least, so
 joining on block values finds all of them. The exact weighted shingle similarity then decides.
 
+Fingerprints and places in step leave passages out. So every document that holds one of an item's
+anchors, the rarest shingles of which a passage cannot lack all, is also swept exactly: each place
+of a shared shingle adds its weight to the starts whose window counts it, and all starts whose
+sum is large enough are weighed. The result is the same for every radius.
+
 A shingle weighs 1 / (items that hold it), so phrases common to many items count little. A
 window's shingle that no item holds weighs as much as the item's mean shingle, so that copies of
 an item and shared templates do not make an edited word outweigh the rest. A passage counts when
@@ -13,16 +18,18 @@ its weighted or its plain similarity is large enough.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.common import stored, without_ids
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 BITS = 64
-#: Fingerprints of windows with a similarity of 0.8 differ in about 10 bits of 64, with a standard
-#: deviation of 3; a radius of 24 leaves out fewer than one in a million of them.
+#: Fingerprints of windows with a similarity of 0.8 differ in about 13 bits of 64 if all shingles
+#: weigh the same, and in more if they don't; what lies beyond the radius is found by the sweep.
 RADIUS = 24
+#: Sums of weights may be off by less than this.
+SLACK = 1e-6
 
 
 def words_of(text: Column) -> Column:
@@ -89,20 +96,106 @@ def prepared_items(named: DataFrame) -> DataFrame:
     )
 
 
-def seeded_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``(doc_id, start, n_words, size)``: windows of an item's size that share a shingle in place."""
-    places = items.select("size", "n_words", F.posexplode("shingles").alias("_at", "h")).distinct()
+def shared_places(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``(doc_id, text_key, size, h, w, n_runs, places)``: where documents hold items' shingles.
+
+    Rows with one doc_id and other words have other text keys; ``n_runs`` counts a row's shingles.
+    """
+    weight = items.select("size", F.explode(F.arrays_zip("shingles", "weights")).alias("_z")).select(
+        F.col("size").alias("_size"), F.col("_z.shingles").alias("h"), F.col("_z.weights").alias("w")
+    ).distinct()
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # 1 to 5
     words = docs.select("doc_id", words_of(F.col("text")).alias("words"))
+    keyed = words.select("doc_id", F.xxhash64("words").alias("text_key"), F.size("words").alias("_n"), "words")
     found = None
-    for size in sizes:
-        runs = words.select("doc_id", F.posexplode(shingles_of(F.col("words"), F.lit(size))).alias("_pos", "h"))
-        hits = runs.join(places.where(F.col("size") == size), "h")
+    for size in sizes or [SHINGLE_WORDS]:
+        n_runs = (F.col("_n") - size + 1).alias("n_runs")  # not the array's size: every run would carry the array
+        runs = keyed.select(
+            "doc_id", "text_key", F.lit(size).alias("size"), n_runs, F.posexplode(shingles_of(F.col("words"), F.lit(size))).alias("_pos", "h")
+        )
+        hits = runs.join(weight.where(F.col("_size") == size).drop("_size"), "h")
         found = hits if found is None else found.unionByName(hits)
-    if found is None:
-        return words.select("doc_id", F.lit(0).alias("start"), F.lit(0).alias("n_words"), F.lit(0).alias("size")).where("false")
+    keys = ["doc_id", "text_key", "size", "h", "w", "n_runs"]
+    return found.groupBy(*keys).agg(F.sort_array(F.collect_set("_pos")).alias("places"))
+
+
+def seeded_windows(spots: DataFrame, items: DataFrame) -> DataFrame:
+    """``(doc_id, start, n_words, size)``: windows of an item's size that share a shingle in place."""
+    places = items.select("size", "n_words", F.posexplode("shingles").alias("_at", "h")).distinct()
+    hits = spots.select("doc_id", "size", "h", F.explode("places").alias("_pos")).join(places, ["size", "h"])
     start = F.greatest(F.col("_pos") - F.col("_at"), F.lit(0))
-    return found.select("doc_id", start.alias("start"), "n_words", "size").distinct()
+    return hits.select("doc_id", start.alias("start"), "n_words", "size").distinct()
+
+
+def swept_passages(spots: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
+    """``(doc_id, item, start, n_words, similarity)`` of all windows that reach the similarity.
+
+    A shingle that the item holds c times counts at most c times: its place counts for the starts
+    after the c-th place before it.
+    """
+    sized = items.select("item", "size", "n_words", "own", "mean", F.size("shingles").alias("m"), "shingles", "weights")
+    marks = (
+        sized.select("item", "size", "m", "own", F.explode(F.arrays_zip("shingles", "weights")).alias("_z"))
+        .groupBy("item", "size", "m", "own", F.col("_z.shingles").alias("h"))
+        .agg(F.count("*").cast("int").alias("c"), F.first("_z.weights").alias("_w"))
+    )
+    # Without its anchors an item keeps less than the similarity of its count and of its weight.
+    rarest = Window.partitionBy("item").orderBy(F.desc("_w"), "h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    least = 1 - similarity
+    anchors = (
+        marks.withColumn("_n", F.sum("c").over(rarest) - F.col("c"))
+        .withColumn("_s", F.sum(F.col("c") * F.col("_w")).over(rarest) - F.col("c") * F.col("_w"))
+        .where((F.col("_n") <= least * F.col("m") + SLACK) | (F.col("_s") <= least * F.col("own") + SLACK * F.col("own")))
+        .select("item", "size", "h")
+    )
+    text = ["doc_id", "text_key", "size"]
+    pairs = spots.select(*text, "h").join(anchors, ["size", "h"]).select(*text, "item").distinct()
+    held = pairs.join(marks.select("item", "h", "c", "m"), "item").join(spots.select(*text, "h", "w", "places"), [*text, "h"])
+    before = lambda i: F.when(i >= F.col("c"), F.get("places", i - F.col("c"))).otherwise(F.lit(-1))
+    edge = lambda start, n, w: F.struct(start.alias("start"), n.alias("n"), w.alias("w"))
+    edges = F.flatten(
+        F.transform(
+            "places",
+            lambda p, i: F.array(
+                edge(F.greatest(p - F.col("m"), before(i), F.lit(-1)) + 1, F.lit(1), F.col("w")), edge(p + 1, F.lit(-1), -F.col("w"))
+            ),
+        )
+    )
+    steps = (
+        held.select(*text, "item", F.inline(edges))
+        .groupBy(*text, "item", "start")
+        .agg(F.sum("n").alias("n"), F.sum("w").alias("w"))
+    )
+    rising = Window.partitionBy(*text, "item").orderBy("start")
+    so_far = rising.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    levels = steps.select(
+        *text,
+        "item",
+        "start",
+        F.lead("start").over(rising).alias("_until"),
+        F.sum("n").over(so_far).alias("_n"),
+        F.sum("w").over(so_far).alias("_w"),
+    )
+    enough = (F.col("_n") >= similarity * F.col("m") - SLACK) | (F.col("_w") >= (similarity - SLACK) * F.col("own"))
+    kept = levels.where("_n > 0").join(sized.select("item", "n_words", "own", "mean", "m"), "item").where(enough)
+    found = stored(
+        kept.select(*text, "item", "n_words", "own", "mean", "m", "_n", "_w", F.explode(F.expr("sequence(start, _until - 1)")).alias("start")),
+        "benchmark-levels",
+    )
+    known = spots.join(found.select(*text).distinct(), text, "left_semi").groupBy(*text).agg(
+        F.first("n_runs").alias("n_runs"),
+        F.flatten(F.collect_list(F.transform("places", lambda p: F.struct(p.alias("p"), F.col("w").alias("w"))))).alias("_known"),
+    )
+    inside = F.filter("_known", lambda k: (k["p"] >= F.col("start")) & (k["p"] < F.col("start") + F.col("m")))
+    unknown = F.least(F.col("m"), F.col("n_runs") - F.col("start")) - F.size("_in")
+    window = total(F.transform("_in", lambda k: k["w"])) + unknown * F.col("mean")
+    weighted, plain = F.col("_w") / F.greatest(window, F.col("own")), F.col("_n") / F.col("m")
+    return (
+        found.join(known, text)
+        .withColumn("_in", inside)
+        .select("doc_id", "item", "start", "n_words", F.round(F.greatest(weighted, plain), 9).alias("similarity"))
+        .where(F.col("similarity") >= similarity)
+    )
 
 
 def find_passages(
@@ -119,7 +212,8 @@ def find_passages(
     named = stored(item_words(benchmark), "benchmark-names")
     items = stored(prepared_items(named), "benchmark-items")
     known = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
-    windows = stored(seeded_windows(known, items), "benchmark-windows")
+    spots = stored(shared_places(known, items), "benchmark-places")
+    windows = stored(seeded_windows(spots, items), "benchmark-windows")
     weight = items.select(F.explode(F.arrays_zip("shingles", "weights")).alias("_z")).select(
         F.col("_z.shingles").alias("h"), F.col("_z.weights").alias("w")
     ).distinct()
@@ -171,8 +265,9 @@ def find_passages(
     scored = pairs.withColumn("_both", both).select(
         "doc_id", "item", "start", "n_words", F.round(F.greatest(weighted, plain), 9).alias("similarity")
     )
+    near_or_swept = scored.where(F.col("similarity") >= similarity).unionByName(swept_passages(spots, items, similarity))
     best = F.max(F.struct(F.col("similarity"), (-F.col("start")).alias("s"))).alias("_b")
-    found = scored.where(F.col("similarity") >= similarity).groupBy("doc_id", "item", "n_words").agg(best)
+    found = near_or_swept.groupBy("doc_id", "item", "n_words").agg(best)
     return (
         found.join(named.select("item", "item_id"), "item")
         .groupBy("doc_id", "item_id", "n_words")
