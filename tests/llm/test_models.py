@@ -285,6 +285,21 @@ def test_passages_beyond_the_radius(spark):
     same_passages(passages_found(spark, docs, items, radius=3), want)
 
 
+def test_passages_of_which_all_shingles_are_shifted(spark):
+    r = random.Random(11)
+    line = lambda n: [f"v{r.randrange(10**6)}" for _ in range(n)]
+    items = [(i, " ".join(line(60))) for i in range(6)]
+    docs = []
+    for i in range(24):
+        passage = items[i % 6][1].split()
+        half = r.choice([20, 30, 40])
+        moved = [passage[half:] + passage[:half], passage[:half] + ["more"] * 2 + passage[half:], passage[3:half] + passage[half + 1 :]][i % 3]
+        docs.append((i, " ".join(line(10) + moved + line(10))))
+    want = plain_or_weighted(docs, items)
+    assert len(want) >= 20
+    same_passages(passages_found(spark, docs, items), want)
+
+
 def test_no_documents_or_benchmark(spark):
     docs = spark.createDataFrame([(1, "a b c d e f"), (None, "a b c d e f")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "a b c d e f"), (None, "z")], "item_id long, text string")
