@@ -12,19 +12,17 @@ from tidemark.llm.queries import BYTE_BPE
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: Documents whose language is less certain go, like those without any letter.
-LEAST_SCORE = 0.25
-
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language; the classifier learns from their own labelled rows.
 
+    Only ``und`` goes: the score falls as languages are added, so no fixed score tells junk apart.
     Without a usable label nothing can be recognised, and no document stays.
     """
     bound_batches(spark)
     lang, score = free_names(docs, "found_lang", "found_score")
     found = language.predict(docs, language.fit(docs), out=(lang, score))
-    return found.where((F.col(lang) != language.UNKNOWN) & (F.col(score) >= LEAST_SCORE)).select(*docs.columns)
+    return found.where(F.col(lang) != language.UNKNOWN).select(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -144,6 +144,18 @@ def test_conversation_query(spark, name):
         assert row["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
 
 
+@pytest.mark.parametrize("families", [2, 8])
+def test_the_language_stage_keeps_an_unsure_document(spark, monkeypatch, families):
+    docs = language_docs(spark, [(1, "a short clean text", "en"), (2, "12 .,", "en")]).drop("lang_pred", "score")
+    least = 0.5 / families  # the score of the best language can be as small as this
+    scored = lambda d, models, out: d.withColumns(
+        {out[0]: F.when(d.doc_id == 1, "en").otherwise(language.UNKNOWN), out[1]: F.lit(least)}
+    )
+    monkeypatch.setattr(language, "fit", lambda d: None)
+    monkeypatch.setattr(language, "predict", scored)
+    assert [r["doc_id"] for r in corpus_pipeline.language_stage(spark, docs, SMALL).collect()] == [1]
+
+
 # Benchmark passages
 
 
