@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat_windows, decontaminate, jaccard_join, language, line_dedup, packing, phrase_automata, suffix_dedup, token_blocks, top_k
+from tidemark.llm import alignment, chat_windows, decontaminate, jaccard_join, language, line_dedup, packing, phrase_automata, suffix_dedup, token_blocks, top_k
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -14,6 +14,7 @@ SQL: dict[str, str] = {}
 
 WORD_BPE = "public:word_bpe_49k.json"
 BYTE_BPE = "public:byte_bpe_50k.json"
+PIECE_BPE = "public:piece_bpe_32k.model"
 
 
 def _query(name: str, sql: str | None = None):
@@ -140,3 +141,9 @@ def op10_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document without the 400-byte strings that occur elsewhere."""
     return suffix_dedup.byte_digests(table(spark, sf_dir, "documents"))
+
+
+@_query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alignment of two tokenizers' tokens of every document, and how common its links are."""
+    return alignment.document_figures(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
