@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import alignment, chat_windows, decontaminate, jaccard_join, language, line_dedup, packing, phrase_automata, suffix_dedup, token_blocks, top_k
+from tidemark.llm import alignment, chat_windows, decontaminate, jaccard_join, language, line_dedup, packing, phrase_automata, suffix_dedup, token_blocks, top_k, vector_codes
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +147,40 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The alignment of two tokenizers' tokens of every document, and how common its links are."""
     return alignment.document_figures(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Lloyd rounds as one query: an assignment and an update for each round, then the last assignment."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+        a{r} AS MATERIALIZED (
+          SELECT rn, part, first(x) AS x, min(dist * {entries} + entry) % {entries} AS entry, min(dist) AS dist FROM (
+            SELECT p.rn, p.part, p.x, c.entry, list_sum(list_transform(list_zip(p.x, c.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS dist
+            FROM p JOIN c{r} c ON c.part = p.part) GROUP BY rn, part)""")
+        if r < rounds:
+            steps.append(f"""
+        c{r + 1} AS MATERIALIZED (
+          SELECT c.part, c.entry, coalesce(m.c, c.c) AS c FROM c{r} c LEFT JOIN (
+            SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM (
+              SELECT part, entry, i, sum(x[i])::BIGINT AS s, count(*)::BIGINT AS n FROM a{r}, range(1, len(x) + 1) t(i) GROUP BY part, entry, i)
+            GROUP BY part, entry) m ON m.part = c.part AND m.entry = c.entry)""")
+    return f"""
+    WITH k AS MATERIALIZED (
+      SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+      WHERE embedding IS NOT NULL AND coalesce(list_bool_and([x IS NOT NULL AND isfinite(x) for x in embedding]), true)
+    ), n AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY vec_id, v) AS rn FROM k
+    ), p AS MATERIALIZED (
+      SELECT rn, part, list_slice(v, part * (len(v) // {parts}) + 1, (part + 1) * (len(v) // {parts})) AS x FROM n, range({parts}) t(part)
+    ), c0 AS MATERIALIZED (SELECT part, rn - 1 AS entry, x AS c FROM p WHERE rn <= {entries}), {",".join(steps)},
+    e AS (SELECT rn, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(dist)::BIGINT AS error FROM a{rounds} GROUP BY rn),
+    h AS (SELECT sha256(string_agg(c[i]::VARCHAR, ',' ORDER BY part, entry, i)) AS digest FROM c{rounds}, range(1, len(c) + 1) t(i))
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, digest AS codebooks_sha256
+    FROM n JOIN e USING (rn), h
+    """
+
+
+@_query("op13_vector_codes", _codes_sql())
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product code of every vector, its error, and the errors of its label."""
+    return vector_codes.code_report(table(spark, sf_dir, "embeddings"))
