@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import alignment, chat_windows, decontaminate, jaccard_join, language, line_dedup, packing, phrase_automata, suffix_dedup, token_blocks, top_k, vector_codes
+from tidemark.llm import alignment, chat_windows, decontaminate, jaccard_join, language, line_dedup, packing, phrase_automata, quality, suffix_dedup, token_blocks, top_k, vector_codes
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,6 +149,15 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.document_figures(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
 
 
+@_query("op12_quality")
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document, learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= 0.7).cast("int").alias("predicted")
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
+
+
 def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
     """Lloyd rounds as one query: an assignment and an update for each round, then the last assignment."""
     steps = []
