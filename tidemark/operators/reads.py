@@ -18,29 +18,14 @@ from tidemark.functions.sequences import (
     reverse_complement_text,
     truncated_length,
 )
+from tidemark.operators.adapters import base_bits, locate, primer_bits, text_matrix
 
-_BIT = {"A": 1, "C": 2, "G": 4, "T": 8}
 LOCATION = "start int, stop int, errors int"
 MERGED = "sequence string, quality string, overlap int, mismatches int"
 
 
-def _base_bits() -> np.ndarray:
-    table = np.zeros(256, dtype=np.uint8)
-    for base, bit in _BIT.items():
-        table[ord(base)] = table[ord(base.lower())] = bit
-    return table
-
-
-def _primer_bits(primer: str) -> np.ndarray:
-    return np.array([sum(_BIT[b] for b in IUPAC_SETS[c]) for c in primer.upper()], dtype=np.uint8)
-
-
-def _matrix(texts: pd.Series, width: int) -> np.ndarray:
-    return np.array(texts.tolist(), dtype=f"S{max(width, 1)}").view(np.uint8).reshape(len(texts), -1)
-
-
 def _locate(reads: pd.Series, primer: str, end: str, rate: float, min_overlap: int) -> pd.DataFrame:
-    """Best placement of a primer in each read: most matches minus errors, leftmost on ties.
+    """Best placement without gaps: most matches minus errors, leftmost on ties.
 
     ``front`` may overlap the read start in part, ``back`` the read end, ``anchored`` starts at
     the first base.
@@ -51,10 +36,10 @@ def _locate(reads: pd.Series, primer: str, end: str, rate: float, min_overlap: i
     none = np.full(n, -1)
     if n == 0 or width == 0:
         return pd.DataFrame({"start": none, "stop": none, "errors": none}).astype("int32")
-    bits = _base_bits()[_matrix(texts, width)]
+    bits = base_bits()[text_matrix(texts, width)]
     padded = np.zeros((n, m + width + m), dtype=np.uint8)
     padded[:, m : m + width] = bits
-    wanted = _primer_bits(primer)
+    wanted = primer_bits(primer)
     first, last = {"front": (-(m - min_overlap), width), "back": (0, width), "anchored": (0, 1)}[end]
     offsets = np.arange(first, last)
     at = m + first
@@ -85,16 +70,23 @@ def _locate(reads: pd.Series, primer: str, end: str, rate: float, min_overlap: i
 
 
 def locate_primer(
-    c: Column | str, primer: str, end: str = "front", error_rate: float = 0.1, min_overlap: int = 3
+    c: Column | str, primer: str, end: str = "front", error_rate: float = 0.1, min_overlap: int = 3,
+    indels: bool = True,
 ) -> Column:
-    """Struct ``(start, stop, errors)`` of the primer in the read, -1 where it is absent."""
+    """Struct ``(start, stop, errors)`` of the primer in the read, -1 where it is absent.
+
+    Errors are mismatches and, with ``indels``, inserted and deleted bases.
+    """
+    if len(primer) > 64:
+        raise ValueError("a primer has at most 64 bases")
     unknown = sorted(set(primer.upper()) - set(IUPAC_SETS))
     if unknown:
         raise ValueError(f"primer holds {unknown}, which are not IUPAC codes")
 
     @F.pandas_udf(LOCATION)
     def place(reads: pd.Series) -> pd.DataFrame:
-        return _locate(reads, primer, end, error_rate, min_overlap)
+        find = locate if indels else _locate
+        return find(reads, primer, end, error_rate, min_overlap)
 
     return place.asNondeterministic()(c)
 
@@ -109,7 +101,7 @@ def _before(seq: str, at: Column) -> Column:
 
 def trim_five_prime(
     pairs: DataFrame, forward: str, reverse: str, error_rate: float = 0.1, min_overlap: int = 3,
-    min_length: int = 20,
+    min_length: int = 20, indels: bool = True,
 ) -> DataFrame:
     """Cut the 5′ primers of both mates; ``status`` says what becomes of the pair.
 
@@ -117,8 +109,8 @@ def trim_five_prime(
     """
     located = pairs.withColumns(
         {
-            "_l1": locate_primer("r1_seq", forward, "front", error_rate, min_overlap),
-            "_l2": locate_primer("r2_seq", reverse, "front", error_rate, min_overlap),
+            "_l1": locate_primer("r1_seq", forward, "front", error_rate, min_overlap, indels),
+            "_l2": locate_primer("r2_seq", reverse, "front", error_rate, min_overlap, indels),
         }
     )
     cut = {}
@@ -142,13 +134,13 @@ def keep_trimmed(trimmed: DataFrame, untrimmed: str = "discard") -> DataFrame:
 
 def trim_three_prime(
     pairs: DataFrame, forward: str, reverse: str, error_rate: float = 0.1, min_overlap: int = 3,
-    min_length: int = 20,
+    min_length: int = 20, indels: bool = True,
 ) -> DataFrame:
     """Cut what follows the reverse-complemented opposite primer; its absence drops nothing."""
     located = pairs.withColumns(
         {
-            "_l1": locate_primer("r1_seq", reverse_complement_text(reverse), "back", error_rate, min_overlap),
-            "_l2": locate_primer("r2_seq", reverse_complement_text(forward), "back", error_rate, min_overlap),
+            "_l1": locate_primer("r1_seq", reverse_complement_text(reverse), "back", error_rate, min_overlap, indels),
+            "_l2": locate_primer("r2_seq", reverse_complement_text(forward), "back", error_rate, min_overlap, indels),
         }
     )
     cut = {}
@@ -161,7 +153,8 @@ def trim_three_prime(
 
 
 def detect_orientation(
-    pairs: DataFrame, forward: str, reverse: str, error_rate: float = 0.1, min_overlap: int = 3
+    pairs: DataFrame, forward: str, reverse: str, error_rate: float = 0.1, min_overlap: int = 3,
+    indels: bool = True,
 ) -> DataFrame:
     """Flags ``as_expected`` and ``reversed``: both mates carry both primers in that orientation.
 
@@ -174,8 +167,8 @@ def detect_orientation(
         for tag, (head, tail) in primers.items():
             df = df.withColumns(
                 {
-                    f"_h{mate}{tag}": locate_primer(f"r{mate}_seq", head, "anchored", error_rate, min_overlap),
-                    f"_t{mate}{tag}": locate_primer(f"r{mate}_seq", tail, "back", error_rate, min_overlap),
+                    f"_h{mate}{tag}": locate_primer(f"r{mate}_seq", head, "anchored", error_rate, min_overlap, indels),
+                    f"_t{mate}{tag}": locate_primer(f"r{mate}_seq", tail, "back", error_rate, min_overlap, indels),
                 }
             )
 
@@ -297,9 +290,9 @@ def _merge_batch(r1, q1, r2, q2, min_overlap: int, max_diffs: int, stagger: bool
         if min(len1, len2) < min_overlap:
             continue
         part = frame.loc[rows]
-        a, qa = _matrix(part.r1, len1), _matrix(part.q1, len1)
-        b = flip[_matrix(part.r2, len2)[:, ::-1]]
-        qb = _matrix(part.q2, len2)[:, ::-1]
+        a, qa = text_matrix(part.r1, len1), text_matrix(part.q1, len1)
+        b = flip[text_matrix(part.r2, len2)[:, ::-1]]
+        qb = text_matrix(part.q2, len2)[:, ::-1]
         best = np.full(len(part), -(10**6))
         where = np.full(len(part), 10**6)
         diffs = np.full(len(part), -1)

@@ -63,12 +63,12 @@ def pairs(spark, sf):
 
 @query("r2_trim_five_prime", _FRONT + " SELECT * FROM trimmed")
 def _(spark, sf):
-    return rd.trim_five_prime(pairs(spark, sf), FORWARD_PRIMER, REVERSE_PRIMER)
+    return rd.trim_five_prime(pairs(spark, sf), FORWARD_PRIMER, REVERSE_PRIMER, indels=False)
 
 
 def both_trimmed(spark, sf):
-    first = rd.keep_trimmed(rd.trim_five_prime(pairs(spark, sf), FORWARD_PRIMER, REVERSE_PRIMER))
-    return rd.trim_three_prime(first.drop("status"), FORWARD_PRIMER, REVERSE_PRIMER)
+    first = rd.keep_trimmed(rd.trim_five_prime(pairs(spark, sf), FORWARD_PRIMER, REVERSE_PRIMER, indels=False))
+    return rd.trim_three_prime(first.drop("status"), FORWARD_PRIMER, REVERSE_PRIMER, indels=False)
 
 
 @query("r3_trim_three_prime", _BACK + " SELECT * FROM back")
@@ -76,6 +76,68 @@ def _(spark, sf):
     return both_trimmed(spark, sf)
 
 
+# Pairs whose primers have lost or gained a base, at either end of a mate; some start inside the primer.
+def _edited(seq: str, at: int, key: str) -> str:
+    """SQL: a base deleted, inserted, changed or none, by the remainder of ``key``."""
+    return (
+        f"CASE {key} % 4 WHEN 1 THEN concat(substring({seq}, 1, {at}), substring({seq}, {at + 2})) WHEN 2 THEN "
+        f"concat(substring({seq}, 1, {at}), 'GT', substring({seq}, {at + 2})) WHEN 3 THEN concat(substring({seq}, 1, {at}), "
+        f"translate(substring({seq}, {at + 1}, 1), 'ACGT', 'CAAC'), substring({seq}, {at + 2})) ELSE {seq} END"
+    )
+
+
+VIEWS["indel_pairs"] = f"""
+SELECT sample, read_no, substring(r1, 1 + lead % 6, 101) AS r1_seq, repeat('I', length(substring(r1, 1 + lead % 6, 101))) AS r1_qual,
+  r2 AS r2_seq, repeat('H', length(r2)) AS r2_qual
+FROM (SELECT concat('S', CAST(user_id % 12 AS STRING)) AS sample, event_id AS read_no, event_id % 3 AS lead, {_edited(
+    '(' + _edited('amp', 5, 'event_id') + ')', 88, '(user_id % 5)')} AS r1, {_edited(
+    '(' + _edited(_RCSQL.format(c='amp'), 9, '(event_id % 7)') + ')', 91, '(user_id % 3)')} AS r2
+  FROM ({_AMPLICON}) x) y"""
+
+
+def _place_edits(reads: str, primer: str, end: str) -> str:
+    """Best placement per distinct read by edit distance over every start, length and primer part, as SQL."""
+    m = len(primer)
+    part, edge = ("right", "o = 0") if end == "front" else ("left", "o + l = length(s)")
+    return f"""(SELECT s, first(o ORDER BY k - 2 * e DESC, abs(l - k), o, l) AS start, first(o + l ORDER BY k - 2 * e DESC, abs(l - k), o, l)
+    AS stop FROM (SELECT s, o, k, l, levenshtein({part}('{primer}', k), substr(s, o + 1, l)) AS e FROM (SELECT s, CAST(o AS BIGINT) AS o,
+    CAST(k AS BIGINT) AS k, CAST(k + d AS BIGINT) AS l FROM {reads}, range(0, 120) r(o), range(3, {m + 1}) p(k), range(-2, 3) b(d) WHERE
+    abs(d) <= floor(k / 10)) WHERE o + l <= length(s) AND (k = {m} OR {edge})) WHERE e <= floor(k / 10) GROUP BY s)"""
+
+
+_EDITED = ctes("indel_pairs") + f""",
+d1 AS MATERIALIZED (SELECT DISTINCT r1_seq AS s FROM indel_pairs), d2 AS MATERIALIZED (SELECT DISTINCT r2_seq AS s FROM indel_pairs),
+f1 AS MATERIALIZED {_place_edits('d1', FORWARD_PRIMER, 'front')}, f2 AS MATERIALIZED {_place_edits('d2', REVERSE_PRIMER, 'front')},
+cut AS (SELECT p.sample, p.read_no, substr(r1_seq, coalesce(f1.stop, 0) + 1) AS r1_seq, substr(r1_qual, coalesce(f1.stop, 0)
+  + 1) AS r1_qual, substr(r2_seq, coalesce(f2.stop, 0) + 1) AS r2_seq, substr(r2_qual, coalesce(f2.stop, 0) + 1) AS r2_qual,
+  f1.stop IS NULL OR f2.stop IS NULL AS untrimmed FROM indel_pairs p LEFT JOIN f1 ON f1.s = r1_seq LEFT JOIN f2 ON f2.s = r2_seq),
+trimmed AS (SELECT * EXCLUDE (untrimmed), CASE WHEN untrimmed THEN 'untrimmed' WHEN length(r1_seq) < 20 OR length(r2_seq) < 20
+  THEN 'short' ELSE 'trimmed' END AS status FROM cut)"""
+_EDITED_BACK = _EDITED + f""",
+kept AS (SELECT * FROM trimmed WHERE status = 'trimmed'),
+e1 AS MATERIALIZED (SELECT DISTINCT r1_seq AS s FROM kept), e2 AS MATERIALIZED (SELECT DISTINCT r2_seq AS s FROM kept),
+b1 AS MATERIALIZED {_place_edits('e1', RRC, 'back')}, b2 AS MATERIALIZED {_place_edits('e2', FRC, 'back')},
+both_cut AS (SELECT sample, read_no, substr(r1_seq, 1, coalesce(b1.start, 999)) AS r1_seq, substr(r1_qual, 1, coalesce(b1.start,
+  999)) AS r1_qual, substr(r2_seq, 1, coalesce(b2.start, 999)) AS r2_seq, substr(r2_qual, 1, coalesce(b2.start, 999)) AS r2_qual
+  FROM kept LEFT JOIN b1 ON b1.s = r1_seq LEFT JOIN b2 ON b2.s = r2_seq),
+back AS (SELECT * FROM both_cut WHERE length(r1_seq) >= 20 AND length(r2_seq) >= 20)"""
+
+
+def edited_trimmed(spark, sf):
+    return rd.trim_five_prime(spread_small_scan(view(spark, sf, "indel_pairs")), FORWARD_PRIMER, REVERSE_PRIMER)
+
+
+@query("r2_trim_with_indels", _EDITED + " SELECT * FROM trimmed")
+def _(spark, sf):
+    return edited_trimmed(spark, sf)
+
+
+@query("r3_trim_back_with_indels", _EDITED_BACK + " SELECT * FROM back")
+def _(spark, sf):
+    first = rd.keep_trimmed(edited_trimmed(spark, sf)).drop("status")
+    return rd.trim_three_prime(first, FORWARD_PRIMER, REVERSE_PRIMER)
+
+
 # Whole-amplicon reads, every 3rd pair in the other orientation, some without a primer.
 VIEWS["long_pairs"] = f"""
 SELECT concat('S', CAST(user_id % 12 AS STRING)) AS sample, event_id AS read_no,
