@@ -69,7 +69,7 @@ def test_clusters_and_grafts_equal_sequential_growth(spark, amplicons):
     assert sum(r.mass for r in stats.collect()) == sum(r[2] for r in amplicons)
     assert member.count() == len(amplicons)
     with pytest.raises(ValueError):
-        clustering.cluster(df, d=2)
+        clustering.cluster(df, d=0)
 
 
 def smith_waterman(q, r):

@@ -174,6 +174,24 @@ def _(spark, sf):
     return cu.graft_light(cu.cluster(view(spark, sf, "pool")), 3).select("amplicon", "label")
 
 
+def _near_two(nodes: str) -> str:
+    """Pairs of a node table within two edits: they share a text within one edit of both."""
+    return f"""
+pos AS (SELECT rank, sequence, i FROM {nodes}, range(1, 42) r(i) WHERE i <= length(sequence) + 1),
+vr AS MATERIALIZED (SELECT rank, sequence AS k FROM {nodes} UNION SELECT rank, concat(substr(sequence, 1, i - 1), substr(sequence, i + 1))
+  FROM pos WHERE i <= length(sequence) UNION SELECT rank, concat(substr(sequence, 1, i - 1), b, substr(sequence, i + x)) FROM pos,
+  (VALUES ('A'), ('C'), ('G'), ('T')) t(b), (VALUES (0), (1)) u(x) WHERE i + x <= length(sequence) + 1),
+near AS MATERIALIZED (SELECT DISTINCT x.rank AS a, y.rank AS b FROM vr x JOIN vr y ON x.k = y.k AND x.rank < y.rank)"""
+
+
+CLUSTERED_TWO = CLUSTERED.replace(_near("nodes"), _near_two("nodes"))
+
+
+@query("r7_cluster_two_edits", CLUSTERED_TWO + " SELECT amplicon, sequence, size, rank, label FROM members")
+def _(spark, sf):
+    return cu.cluster(view(spark, sf, "pool"), d=2)
+
+
 # Reference and queries for search and classifiers: 32 bases of the genus, 32 of their own.
 VIEWS["refs"] = """
 SELECT concat('R', CAST(p_partkey AS STRING)) AS ref_id, concat(translate(md5(concat('g', CAST(g AS STRING))), '0123456789abcdef',
@@ -280,6 +298,20 @@ def _(spark, sf):
     return dn.variant_table(done, ["n"])
 
 
+@query(
+    "r12_denoise_three_edits",
+    ctes("pool").replace("WITH ", "WITH RECURSIVE ")
+    + """, nodes AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY size DESC, sequence) AS rank FROM pool), near AS MATERIALIZED
+    (SELECT x.rank AS a, y.rank AS b, x.size AS sa, y.size AS sb, levenshtein(x.sequence, y.sequence) AS d FROM nodes x JOIN nodes y ON
+    x.size >= 4 * y.size AND abs(length(x.sequence) - length(y.sequence)) <= 3), up AS (SELECT b AS child, min(a) AS parent FROM near
+    WHERE d <= 3 AND sb <= sa * pow(2, -(d + 1)) GROUP BY b), walk(node, root) AS (SELECT rank, rank FROM nodes UNION SELECT node, parent
+    FROM walk JOIN up ON child = root) SELECT n.sequence, n.size, v.sequence AS variant FROM nodes n JOIN (SELECT node, min(root) AS root
+    FROM walk GROUP BY node) w ON w.node = n.rank JOIN nodes v ON v.rank = w.root""",
+)
+def _(spark, sf):
+    return dn.denoise(view(spark, sf, "pool").select("sequence", "size"), alpha=1.0, max_distance=3)
+
+
 @query("r13_sequence_table", ctes("reads") + " SELECT sample, sequence, CAST(sum(read_no % 5 + 1) AS BIGINT) AS reads FROM reads GROUP BY ALL")
 def _(spark, sf):
     return ft.sequence_table(view(spark, sf, "reads").withColumn("reads", F.col("read_no") % 5 + 1))

@@ -106,3 +106,29 @@ def lookup_join(
         "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(zero)))
     )
     return salted.drop("_hot").join(copies.drop("_hot"), [*keys, "_salt"], how).drop("_salt")
+
+
+def grid_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], left_spread: Sequence[str], right_spread: Sequence[str],
+    condition: Column, shares: int = HOT_SHARES, splits: int = 16,
+) -> DataFrame:
+    """Inner join on ``keys``, unique on neither side, that splits hot keys of both into a grid.
+
+    A row of a hot key goes to one row or column of ``splits * splits`` cells, by its ``spread``
+    columns, so every pair still meets in exactly one cell. Sides are read twice.
+    """
+    keys = list(keys)
+    found = [h for h in (hot_keys(left, keys, shares), hot_keys(right, keys, shares)) if h is not None]
+    if not found:
+        return left.join(right, keys).where(condition)
+    crowded = found[0] if len(found) == 1 else found[0].unionByName(found[1]).distinct()
+    hot = F.broadcast(crowded.withColumn("_hot", F.lit(True)))  # fewer than 2 * shares rows
+    zero = F.lit(0).cast("long")
+    every = F.explode(F.when(F.col("_hot"), F.sequence(zero, F.lit(splits - 1).cast("long"))).otherwise(F.array(zero)))
+
+    def own(columns: Sequence[str]) -> Column:
+        return F.when(F.col("_hot"), F.pmod(F.xxhash64(*columns), F.lit(splits))).otherwise(zero)
+
+    x = left.join(hot, keys, "left").withColumn("_x", own(left_spread)).withColumn("_y", every).drop("_hot")
+    y = right.join(hot, keys, "left").withColumn("_y", own(right_spread)).withColumn("_x", every).drop("_hot")
+    return x.join(y, [*keys, "_x", "_y"]).drop("_x", "_y").where(condition)
