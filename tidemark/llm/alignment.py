@@ -36,7 +36,7 @@ from tidemark.llm.common import stored
 from tidemark.llm.tokens import local_path
 
 #: A block of documents: so many characters and documents at most (a longer document is alone).
-BLOCK_CHARS = 1 << 22
+BLOCK_CHARS = 1 << 21
 BLOCK_DOCS = 1 << 15
 #: Units of a lane, units kept per worker, and group size from which links are counted by distinct ids.
 LANE_UNITS = 64
