@@ -26,18 +26,23 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import slices, stored
 from tidemark.llm.tokens import local_path
 
-#: A block of documents: so many characters and documents at most (a longer document is alone).
-BLOCK_CHARS = 1 << 21
+#: A block of documents: so many characters and documents at most (a longer document is alone). It is
+#: aligned in slices, which bound a worker's memory.
+BLOCK_CHARS = 1 << 22
 BLOCK_DOCS = 1 << 15
+SLICE_CHARS = 1 << 19
+#: Units that are encoded in one call.
+LEARN_UNITS = 1 << 12
 #: Units of a lane, units kept per worker, and group size from which links are counted by distinct ids.
 LANE_UNITS = 64
 KEPT_UNITS = 1 << 18
@@ -124,19 +129,22 @@ class Pair:
         """Encode units and append them to the store; returns their numbers."""
         if not units:
             return np.empty(0, np.int64)
-        a = [e.ids for e in self.first.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
-        b = self.second.encode(units, num_threads=1)
-        ab, bb = self.a_bytes.__getitem__, self.b_bytes.__getitem__
-        plain = [(" " + u).encode() for u in units]
-        good = [b"".join(map(ab, x)) == t == b"".join(map(bb, y)) for x, y, t in zip(a, b, plain, strict=True)]
+        parts: dict[str, list[np.ndarray]] = {"a_ids": [], "b_ids": [], "a_n": [], "b_n": []}
+        good: list[bool] = []
+        for at in range(0, len(units), LEARN_UNITS):
+            own = units[at : at + LEARN_UNITS]
+            spaced = [" " + u for u in own]
+            a = [e.ids for e in self.first.encode_batch_fast(spaced, add_special_tokens=False)]
+            b = self.second.encode(own, num_threads=1)
+            ab, bb = self.a_bytes.__getitem__, self.b_bytes.__getitem__
+            good += [b"".join(map(ab, x)) == t.encode() == b"".join(map(bb, y)) for x, y, t in zip(a, b, spaced, strict=True)]
+            for side, found in (("a", a), ("b", b)):
+                parts[f"{side}_n"].append(np.fromiter(map(len, found), np.int64, len(found)))
+                parts[f"{side}_ids"].append(np.fromiter(chain.from_iterable(found), np.int32))
         first = len(self.a_n)
-        for side, found in (("a", a), ("b", b)):
-            n = np.array([len(x) for x in found], np.int64)
-            ids, held = getattr(self, f"{side}_ids"), np.concatenate((getattr(self, f"{side}_n"), n))
-            flat = np.fromiter((i for x in found for i in x), np.int32, int(n.sum()))
-            setattr(self, f"{side}_ids", np.concatenate((ids, flat)))
-            setattr(self, f"{side}_n", held)
-            setattr(self, f"{side}_at", np.cumsum(held) - held)
+        for name, values in parts.items():
+            setattr(self, name, np.concatenate((getattr(self, name), *values)))
+        self.a_at, self.b_at = np.cumsum(self.a_n) - self.a_n, np.cumsum(self.b_n) - self.b_n
         self.faithful = np.concatenate((self.faithful, np.array(good, bool)))
         self.uses = np.concatenate((self.uses, np.zeros(len(units), np.int64)))
         return np.arange(first, first + len(units))
@@ -219,7 +227,7 @@ class Pair:
         last_a, last_b = np.cumsum(x.group_a), np.cumsum(x.group_b)
         at_a = np.arange(len(x.a)) + (last_b - x.group_b)[g_a]
         at_b = np.arange(len(x.b)) + last_a[g_b]
-        ids = np.empty(len(x.a) + len(x.b), np.int64)
+        ids = np.empty(len(x.a) + len(x.b), np.int32)
         mark = np.full(len(ids), ord(","), np.uint8)
         ids[at_a], ids[at_b] = x.a, x.b
         mark[at_a[last_a - 1]], mark[at_b[last_b - 1]] = ord("|"), ord(";")
@@ -336,6 +344,19 @@ def _least(values: np.ndarray) -> np.ndarray:
     return values.astype(np.min_scalar_type(int(values.max(initial=0))))
 
 
+def _folded(pairs: np.ndarray, docs: np.ndarray, times: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ``pair << 15 | document`` (BLOCK_DOCS fits 15 bits), ascending, with their summed times."""
+    key = pairs << 15 | (docs + first)
+    if len(times) and times.max() > 1:
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        at = np.flatnonzero(np.diff(key, prepend=-1))
+        return key[at], np.add.reduceat(times[order], at)
+    key.sort()
+    at = np.flatnonzero(np.diff(key, prepend=-1))
+    return key[at], np.diff(at, append=len(key))
+
+
 _PER_DOC = {"doc_id": "bigint", "n_a": "bigint", "n_b": "bigint", "n_groups": "bigint", "n_links": "bigint", "groups_sha256": "string"}
 
 
@@ -350,19 +371,21 @@ def aligned_blocks(docs: DataFrame, a: str, b: str) -> DataFrame:
         pair = opened(a, b)
         part = TaskContext.get().partitionId()
         for number, (ids, texts) in enumerate(_blocks(batches)):
-            x = pair.align(texts)
-            found, doc, times = links(x)
-            n_links = np.bincount(doc, times, len(ids)).astype(np.int64)
-            key = found << 15 | doc  # BLOCK_DOCS fits 15 bits
-            order = np.argsort(key, kind="stable") if len(times) and times.max() > 1 else None
-            key = key[order] if order is not None else np.sort(key)
-            at = np.flatnonzero(np.diff(key, prepend=-1))
-            times = np.add.reduceat(times[order], at) if order is not None else np.diff(at, append=len(key))
-            key = key[at]
+            keys, counts, figures = [], [], []
+            for low, high in slices([t or "" for t in texts], SLICE_CHARS):
+                x = pair.align(texts[low:high])
+                key, times = _folded(*links(x), low)
+                n_links = np.bincount((key & 0x7FFF) - low, times, high - low).astype(np.int64)
+                keys.append(key)
+                counts.append(_least(times))
+                figures.append((x.n_a, x.n_b, x.n_groups, n_links, pair.written(x)))
+            key, times = np.concatenate(keys), np.concatenate(counts)
+            order = np.argsort(key, kind="stable")  # slices hold different documents, so keys differ
+            key, times = key[order], times[order]
             pairs = key >> 15
             heads = np.flatnonzero(np.diff(pairs, prepend=-1))
             packed = [pairs[heads].astype("<i8"), _least(np.diff(heads, append=len(pairs))), (key & 0x7FFF).astype("<u2"), _least(times)]
-            columns = [ids, x.n_a, x.n_b, x.n_groups, n_links, pair.written(x)]
+            columns = [ids, *(np.concatenate(c) for c in list(zip(*figures, strict=True))[:4]), [d for f in figures for d in f[4]]]
             kinds = [pa.int64()] * 5 + [pa.string()]
             yield pa.RecordBatch.from_arrays(
                 [
