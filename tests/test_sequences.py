@@ -72,34 +72,6 @@ def test_clusters_and_grafts_equal_sequential_growth(spark, amplicons):
         clustering.cluster(df, d=0)
 
 
-def smith_waterman(q, r):
-    best, prev = 0, [0] * (len(r) + 1)
-    for x in q:
-        cur = [0]
-        for j, y in enumerate(r, 1):
-            cur.append(max(0, prev[j - 1] + (2 if x == y else -4), prev[j] - 5, cur[-1] - 5))
-        best, prev = max(best, *cur), cur
-    return best
-
-
-def test_alignment_scores_are_optimal_and_consistent():
-    rnd = random.Random(3)
-    qs, rs = [], []
-    for _ in range(120):
-        q = dna(rnd, rnd.randrange(15, 60))
-        r = list(q)
-        for _ in range(rnd.randrange(0, 7)):
-            p = rnd.randrange(len(r))
-            r[p : p + 1] = rnd.choice([[], [rnd.choice("ACGT")], [r[p], rnd.choice("ACGT")]])
-        qs.append(q)
-        rs.append(dna(rnd, rnd.randrange(8)) + "".join(r))
-    out = search._align_texts(pd.Series(qs), pd.Series(rs))
-    assert list(out.half_score) == [smith_waterman(a, b) for a, b in zip(qs, rs)]
-    for row in out.itertuples():
-        m = round(row.pident * row.length / 100)
-        assert 2 * m - 4 * row.mismatch - 5 * (row.length - m - row.mismatch) == row.half_score
-
-
 def test_search_finds_every_reference_brute_force_accepts(spark, monkeypatch):
     rnd = random.Random(9)
     core = dna(rnd, 30)

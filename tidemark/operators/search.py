@@ -1,23 +1,28 @@
-"""Similarity search against a reference: seed words, local alignment, best hits."""
+"""Similarity search against a reference: seed words, chains, banded extension, best hits."""
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.sequences import reverse_complement
+from tidemark.operators.extension import Scheme, best_alignments
 from tidemark.operators.taxonomy import best_hits
 from tidemark.session import cut_lineage
-from tidemark.skew import hot_keys, lookup_join
+from tidemark.skew import grid_join, lookup_join
 
-# Seed word length of each search task, and published alignment statistics for a
-# match of +1, a mismatch of -2 and linear gaps of -2.5.
+# Seed word length of each search task, its scores in half points (match, mismatch, opening a
+# gap, each base of a gap), and the published statistics of these scores.
 TASK_WORDS = {"megablast": 28, "blastn": 11, "dc-megablast": 11, "blastn-short": 7}
-LAMBDA, KAPPA = 1.28, 0.46
-MATCH, MISMATCH, GAP = 2, -4, -5  # in half points
+SCHEMES = {
+    "megablast": Scheme(2, -4, 0, 5, 1.28, 0.46),
+    "blastn": Scheme(4, -6, 10, 4, 0.625, 0.41),
+    "dc-megablast": Scheme(4, -6, 10, 4, 0.625, 0.41),
+    "blastn-short": Scheme(2, -6, 10, 4, 1.37, 0.711),
+}
+
 WORD_SPLITS = 32
 SHARES = 1000
 
@@ -27,107 +32,21 @@ ALIGNMENT = (
 )
 
 
-def _align(q: np.ndarray, r: np.ndarray) -> dict[str, np.ndarray]:
-    """Local alignment of rows of ``q`` with rows of ``r``, all rows at once.
-
-    Anti-diagonals are processed together. Beside the score each cell carries the counts of
-    its path (matches, mismatches, gap openings, start), so no trace back is needed. Ties
-    prefer the diagonal, then a gap in the reference; the first best cell is reported. Rows
-    are padded with codes that never match, so padding cannot raise a score.
-    """
-    n, lq = q.shape
-    lr = r.shape[1]
-    turned = np.ascontiguousarray(r[:, ::-1])
-    one_match, one_mis = 1 << 40, 1 << 20
-
-    def blank(dtype):
-        return np.zeros((n, lq + 1), dtype=dtype)
-
-    h1, h2 = blank(np.int32), blank(np.int32)
-    s1, s2, a1, a2 = (blank(np.int64) for _ in range(4))
-    op1 = blank(np.int8)
-    best = np.zeros(n, dtype=np.int32)
-    kept = {k: np.zeros(n, dtype=np.int64) for k in ("s", "at", "qend", "send")}
-    rows = np.arange(n)
-    for d in range(2, lq + lr + 1):
-        lo, hi = max(1, d - lr), min(lq, d - 1)
-        here, above = slice(lo, hi + 1), slice(lo - 1, hi)
-        same = q[:, lo - 1 : hi] == turned[:, lr - d + lo : lr - d + hi + 1]
-        before = h2[:, above]
-        diag = before + np.where(same, np.int32(MATCH), np.int32(MISMATCH))
-        up, left = h1[:, above] + np.int32(GAP), h1[:, here] + np.int32(GAP)
-        gap = np.maximum(up, left)
-        value = np.maximum(np.maximum(diag, gap), 0)
-        by_diag = diag >= gap
-        by_up = up >= left
-        h, s, at, op = blank(np.int32), blank(np.int64), blank(np.int64), blank(np.int8)
-        h[:, here] = value
-        fresh = before == 0
-        index = np.arange(lo, hi + 1, dtype=np.int64)
-        start = (index << 31) + (d - index)
-        step = np.where(same, one_match, one_mis)
-        gap_s = np.where(by_up, s1[:, above] + (op1[:, above] != 1), s1[:, here] + (op1[:, here] != 2))
-        gap_at = np.where(by_up, a1[:, above], a1[:, here])
-        s[:, here] = np.where(by_diag, np.where(fresh, 0, s2[:, above]) + step, gap_s)
-        at[:, here] = np.where(by_diag, np.where(fresh, start, a2[:, above]), gap_at)
-        op[:, here] = np.where(by_diag, np.int8(0), np.where(by_up, np.int8(1), np.int8(2)))
-        top = value.argmax(axis=1)
-        peak = value[rows, top]
-        better = peak > best
-        if better.any():
-            cell = top + lo
-            best = np.where(better, peak, best)
-            for k, v in (("s", s[rows, cell]), ("at", at[rows, cell]), ("qend", cell), ("send", d - cell)):
-                kept[k] = np.where(better, v, kept[k])
-        h2, s2, a2 = h1, s1, a1
-        h1, s1, a1, op1 = h, s, at, op
-    matches = kept["s"] >> 40
-    mism = (kept["s"] >> 20) & ((1 << 20) - 1)
-    opened = kept["s"] & ((1 << 20) - 1)
-    qstart, sstart = kept["at"] >> 31, kept["at"] & ((1 << 31) - 1)
-    spans = (kept["qend"] - qstart + 1) + (kept["send"] - sstart + 1)
-    gaps = spans - 2 * (matches + mism)
-    length = matches + mism + gaps
-    return {
-        "pident": np.where(length > 0, 100.0 * matches / np.maximum(length, 1), 0.0).round(3),
-        "length": length, "mismatch": mism, "gapopen": opened, "qstart": qstart, "qend": kept["qend"],
-        "sstart": sstart, "send": kept["send"], "half_score": best,
-    }
-
-
-def _align_texts(q: pd.Series, r: pd.Series, cells: int = 60_000) -> pd.DataFrame:
-    out = []
-    order = (q.str.len() * 100_000 + r.str.len()).to_numpy().argsort(kind="stable")
-    q, r = q.iloc[order], r.iloc[order]
-    at = 0
-    while at < len(q):
-        width = int(q.iloc[at:].str.len().iloc[: max(1, cells // 64)].max())
-        size = max(1, cells // (width + 1))
-        a, b = q.iloc[at : at + size], r.iloc[at : at + size]
-        la, lb = int(a.str.len().max()), int(b.str.len().max())
-        qa = np.array(a.tolist(), dtype=f"S{la}").view(np.uint8).reshape(len(a), la)
-        rb = np.array(b.tolist(), dtype=f"S{lb}").view(np.uint8).reshape(len(b), lb)
-        rb = np.where(rb == 0, 1, rb).astype(np.uint8)
-        out.append(pd.DataFrame(_align(qa, rb)))
-        at += size
-    done = pd.concat(out, ignore_index=True) if out else pd.DataFrame(columns=["pident"])
-    done.index = order
-    return done.sort_index()
-
-
-def align(query: Column | str, reference: Column | str) -> Column:
-    """Best local alignment of each row's two sequences, as a struct."""
+def align_runs(query: Column | str, reference: Column | str, runs: Column, identity: float, task: str) -> Column:
+    """Best alignment of each row's two sequences through one of its exact runs, as a struct."""
+    scheme = SCHEMES[task]
 
     @F.pandas_udf(ALIGNMENT)
-    def run(q: pd.Series, r: pd.Series) -> pd.DataFrame:
-        done = _align_texts(q, r)
+    def run(q: pd.Series, r: pd.Series, qp: pd.Series, rp: pd.Series) -> pd.DataFrame:
+        places = [list(zip(x.tolist(), y.tolist(), strict=True)) for x, y in zip(qp, rp, strict=True)]
+        done = pd.DataFrame(best_alignments(q.tolist(), r.tolist(), places, identity, scheme))
         return done.astype({c: "float64" if c == "pident" else "int32" for c in done.columns})
 
-    return run.asNondeterministic()(query, reference)  # evaluated once, not again per filter
+    return run.asNondeterministic()(query, reference, runs["qp"], runs["rp"])  # evaluated once, not again per filter
 
 
-def seed_words(df: DataFrame, key: str, word: int) -> DataFrame:
-    """``(key.., word, before)``: every word with the base in front of it, empty at the start."""
+def seed_words(df: DataFrame, word: int) -> DataFrame:
+    """``df`` without its sequence, once for every word: the word, its place from 0, and the base before it."""
     s = F.col("sequence")
     n = F.length(s) - F.lit(word - 1)
     at = F.when(n > 0, F.sequence(F.lit(1), n))
@@ -135,6 +54,7 @@ def seed_words(df: DataFrame, key: str, word: int) -> DataFrame:
         at,
         lambda i: F.struct(
             F.substring(s, i, F.lit(word)).alias("word"),
+            (i - 1).alias("place"),
             F.when(i > 1, F.substring(s, i - 1, F.lit(1))).otherwise(F.lit("")).alias("before"),
         ),
     )
@@ -143,35 +63,19 @@ def seed_words(df: DataFrame, key: str, word: int) -> DataFrame:
 
 
 def candidate_pairs(queries: DataFrame, references: DataFrame, word: int) -> DataFrame:
-    """Distinct ``(qseqid, sseqid, minus)`` that share a word, on either strand.
+    """``(qseqid, sseqid, minus, runs)`` of pairs that share a word on either strand.
 
-    A pair is emitted only where an exact run begins, not for every word inside it. Words held
-    by more than 1/1000 of the rows of a side (fewer than 1000 per side, so their list is
-    broadcast) are split on both sides into a grid, each cell of which is one small join group.
-    All pairs are kept: nothing is dropped for being frequent.
+    ``runs`` has the places where an exact run begins; words inside a run are not repeated. Words held
+    by more than 1/1000 of the rows of a side are split on both sides into a grid, each cell of
+    which is one small join group. All pairs are kept: nothing is dropped for being frequent.
     """
     plus = queries.select("qseqid", F.lit(False).alias("minus"), "sequence")
     minus = queries.select("qseqid", F.lit(True).alias("minus"), reverse_complement("sequence").alias("sequence"))
-    qw = seed_words(plus.unionByName(minus), "qseqid", word)
-    rw = seed_words(references.select("sseqid", "sequence"), "sseqid", word).withColumnRenamed("before", "_rb")
-
-    found = [h for h in (hot_keys(qw, ["word"], SHARES), hot_keys(rw, ["word"], SHARES)) if h is not None]
-    keys = ["word"]
-    if found:
-        crowded = found[0] if len(found) == 1 else found[0].unionByName(found[1]).distinct()
-        crowded = F.broadcast(crowded.withColumn("_hot", F.lit(True)))
-        zero = F.lit(0).cast("long")
-        spread = F.sequence(zero, F.lit(WORD_SPLITS - 1).cast("long"))
-
-        def own(*cols: str) -> Column:
-            return F.when(F.col("_hot"), F.pmod(F.xxhash64(*cols), F.lit(WORD_SPLITS))).otherwise(zero)
-
-        every = F.explode(F.when(F.col("_hot"), spread).otherwise(F.array(zero)))
-        qw = qw.join(crowded, "word", "left").withColumn("_x", own("qseqid", "minus")).withColumn("_y", every)
-        rw = rw.join(crowded, "word", "left").withColumn("_y", own("sseqid")).withColumn("_x", every)
-        qw, rw, keys = qw.drop("_hot"), rw.drop("_hot"), ["word", "_x", "_y"]
-    met = qw.join(rw, keys).where((F.col("before") != F.col("_rb")) | (F.col("before") == ""))
-    return met.select("qseqid", "sseqid", "minus").distinct()
+    qw = seed_words(plus.unionByName(minus), word).withColumnRenamed("place", "qp")
+    rw = seed_words(references.select("sseqid", "sequence"), word).withColumnsRenamed({"place": "rp", "before": "_rb"})
+    begins = (F.col("before") != F.col("_rb")) | (F.col("before") == "")
+    met = grid_join(qw, rw, ["word"], ["qseqid", "minus"], ["sseqid"], begins, SHARES, WORD_SPLITS)
+    return met.groupBy("qseqid", "sseqid", "minus").agg(F.collect_list(F.struct("qp", "rp")).alias("runs"))
 
 
 def similarity_search(
@@ -185,8 +89,9 @@ def similarity_search(
 ) -> DataFrame:
     """The 12 columns of a search result for queries ``(qseqid, sequence)``.
 
-    A hit shares a seed word, reaches identity and query coverage, and stays below the
-    expected number of chance hits. Scores are our own, from published statistics.
+    A hit runs through a shared seed word, reaches identity and query coverage, and stays below the
+    expected number of chance hits. Scores are our own, from published statistics; gaps are linear
+    for ``megablast`` and affine for the other tasks.
     """
     if task not in TASK_WORDS:
         raise ValueError(f"task is one of {sorted(TASK_WORDS)}; got {task!r}")
@@ -200,8 +105,9 @@ def similarity_search(
     # alignment is heavy per row: spread the pairs over all cores, however few bytes they are
     spark = queries.sparkSession
     tasks = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    scored = full.repartition(tasks).withColumn("_a", align(oriented, "_r"))
-    bits = (F.lit(LAMBDA) * F.col("_a.half_score") / 2 - F.lit(math.log(KAPPA))) / F.lit(math.log(2))
+    scored = full.repartition(tasks).withColumn("_a", align_runs(oriented, "_r", F.col("runs"), perc_identity, task))
+    scheme = SCHEMES[task]
+    bits = (F.lit(scheme.scale) * F.col("_a.half_score") / 2 - F.lit(math.log(scheme.constant))) / F.lit(math.log(2))
     n = F.length("_q")
     hits = scored.select(
         "qseqid",
