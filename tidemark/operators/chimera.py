@@ -29,8 +29,8 @@ def _ends(df: DataFrame, scope: Sequence[str]) -> DataFrame:
     return df.select(*scope, "amplicon", "size", F.inline(F.concat(left, right)))
 
 
-def _two_owners(ends: DataFrame, scope: Sequence[str]) -> DataFrame:
-    """Per prefix or suffix its two most abundant owners; the limit applies before the shuffle."""
+def two_owners(ends: DataFrame, scope: Sequence[str]) -> DataFrame:
+    """Per key (a prefix, suffix or run) its two most abundant owners; the limit applies before the shuffle."""
     order = Window.partitionBy(*scope, "k").orderBy(F.desc("size"), "amplicon")
     top = ends.withColumn("_i", F.row_number().over(order)).where(F.col("_i") <= 2)
     return top.groupBy(*scope, "k").agg(
@@ -50,7 +50,7 @@ def two_parent_matches(
     scope = list(scope)
     base = amplicons.select(*scope, "amplicon", "sequence", "size")
     ends = cut_lineage(_ends(base, scope))
-    owners = _two_owners(ends.where(F.col("size") >= min_parent), scope)
+    owners = two_owners(ends.where(F.col("size") >= min_parent), scope)
     met = lookup_join(ends, owners, [*scope, "k"], spread=["amplicon", "at"])
     cols, aggs, hits = {}, [], []
     for i, fold in enumerate(folds):

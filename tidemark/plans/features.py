@@ -11,6 +11,7 @@ from tidemark.operators import classify as cy
 from tidemark.operators import clustering as cu
 from tidemark.operators import denoise as dn
 from tidemark.operators import features as ft
+from tidemark.operators.chimera_score import score_chimeras
 from tidemark.operators.search import similarity_search
 from tidemark.plans import sources as _source_views, tracking as _tracking_views  # noqa: F401
 from tidemark.plans.registry import query
@@ -228,14 +229,19 @@ def _two_parents(source: str, scope: str, fold: str, floor: int, name: str) -> s
     on = f" AND e.{scope} = p.{scope}" if scope else ""
     two = f"l.{scope} = r.{scope} AND " if scope else ""
     lead = f"l.{scope}, " if scope else ""
+    near = f"p.amplicon <> e.amplicon AND p.size >= e.size * {fold} AND p.size >= {floor}"
+    own = f"e.{scope}, " if scope else ""
+
+    def longest(pick: str, text: str, order: str) -> str:
+        """The longest shared prefix or suffix of each pair, and of these the two best parents."""
+        pairs = f"SELECT {own}e.amplicon, p.amplicon AS par, {pick}(e.i) AS i FROM {name}e e JOIN {name}e p ON e.{text} = p.{text}{on} AND {near} GROUP BY ALL"
+        return f"(SELECT *, row_number() OVER (PARTITION BY {keep}amplicon ORDER BY i {order}) AS rn FROM ({pairs}) QUALIFY rn <= 2)"
+
     return f"""
-{name}e AS (SELECT {keep}amplicon, size, i, substr(sequence, 1, i) AS pre, substr(sequence, i + 1) AS suf, length(sequence) AS n FROM
-  {source}, range(1, 64) g(i) WHERE i < length(sequence)),
-{name}l AS (SELECT DISTINCT {'e.' + keep if scope else ''}e.amplicon, e.i, p.amplicon AS par FROM {name}e e JOIN {name}e p ON e.pre = p.pre{on}
-  AND p.amplicon <> e.amplicon AND p.size >= e.size * {fold} AND p.size >= {floor}),
-{name}r AS (SELECT DISTINCT {'e.' + keep if scope else ''}e.amplicon, e.i, p.amplicon AS par FROM {name}e e JOIN {name}e p ON e.suf = p.suf{on}
-  AND p.amplicon <> e.amplicon AND p.size >= e.size * {fold} AND p.size >= {floor}),
-{name} AS (SELECT DISTINCT {lead}l.amplicon FROM {name}l l JOIN {name}r r ON {two}l.amplicon = r.amplicon AND l.i = r.i AND
+{name}e AS MATERIALIZED (SELECT {keep}amplicon, size, i, substr(sequence, 1, i) AS pre, substr(sequence, i + 1) AS suf FROM {source},
+  range(1, 64) g(i) WHERE i < length(sequence)),
+{name}l AS MATERIALIZED {longest('max', 'pre', 'DESC')}, {name}r AS MATERIALIZED {longest('min', 'suf', 'ASC')},
+{name} AS MATERIALIZED (SELECT DISTINCT {lead}l.amplicon FROM {name}l l JOIN {name}r r ON {two}l.amplicon = r.amplicon AND l.i >= r.i AND
   l.par <> r.par)"""
 
 
@@ -249,6 +255,23 @@ def _(spark, sf):
     return ch.call_chimeras(view(spark, sf, "mosaic"))
 
 
+# Amplicons of 64 bases: parents, and mosaics of two of them with none to three changed bases.
+_LONG = "concat(%s, %s)" % (_H % "%s", _H % "concat('x', CAST(%s AS STRING))")
+_MIXED = f"""concat(substring({_LONG % ('(k - 1)', '(k - 1)')}, 1, 20 + k % 24), substring({_LONG % ('(k + 2)', '(k + 2)')}, 21 + k % 24, 64))"""
+VIEWS["noisy_mosaic"] = f"""
+SELECT sequence, CAST(max(size) AS BIGINT) AS size, sha1(sequence) AS amplicon FROM (SELECT CASE WHEN k % 3 <> 1 THEN {_LONG % ('k', 'k')}
+  WHEN k % 4 = 0 THEN m WHEN k % 4 = 1 THEN concat(substring(m, 1, 9), translate(substring(m, 10, 1), 'ACGT', 'CAAC'), substring(m, 11))
+  WHEN k % 4 = 2 THEN concat(substring(m, 1, 14), 'AA', substring(m, 17, 33), 'C', substring(m, 51)) ELSE concat(substring(m, 1, 2),
+  translate(substring(m, 3, 1), 'ACGT', 'GTTG'), substring(m, 4, 27), 'T', substring(m, 32, 25), 'G', substring(m, 58)) END AS sequence,
+  CASE WHEN k % 3 = 1 THEN 10 + k % 50 ELSE 60 + k % 50 END AS size FROM (SELECT c_custkey AS k, {_MIXED.replace('k', 'c_custkey')} AS m
+  FROM {{customer}}) c) x GROUP BY sequence"""
+
+
+@query("r10_scored_chimeras")
+def _(spark, sf):
+    return score_chimeras(view(spark, sf, "noisy_mosaic"))
+
+
 VIEWS["mosaic_samples"] = f"""
 SELECT sample, sequence, size * (1 + CAST(substring(sample, 2, 1) AS INT)) AS reads, sha1(sequence) AS amplicon, size *
   (1 + CAST(substring(sample, 2, 1) AS INT)) AS size FROM ({VIEWS['mosaic']}) m CROSS JOIN (SELECT 'T0' AS sample UNION ALL SELECT
