@@ -93,7 +93,7 @@ def test_gained_and_lost_bases(spark):
     r = random.Random(8)
     a, b = dna(r, 100), dna(r, 97)
     mosaic = a[:45] + b[45:]
-    rows = [("a", a, 100), ("b", b, 90), ("m", mosaic, 10), ("lost", mosaic[:20] + mosaic[21:], 5), ("gained", mosaic[:80] + "G" + mosaic[80:], 5)]
+    rows = [("a", a, 100), ("b", b, 90), ("m", mosaic, 9), ("lost", mosaic[:20] + mosaic[21:], 5), ("gained", mosaic[:80] + "G" + mosaic[80:], 5)]
     rows += [("short", "ACG", 1), ("empty", "", 1)]
     got = {r.amplicon: r for r in cs.score_chimeras(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert {k: v.chimera for k, v in got.items()} == {"a": "N", "b": "N", "m": "Y", "lost": "Y", "gained": "Y", "short": "N", "empty": "N"}
