@@ -482,7 +482,9 @@ def _(spark, sf):
 
     folder = new_path(spark, "logs")
     _write_named(view(spark, sf, "trim_lines"), folder)
-    stream = live.watch_trim_logs(spark, folder, name=F.col("log"))
+    # log folders have the logs' names; Spark wrote them, so nothing more will come
+    named = F.regexp_extract(F.url_decode("file"), "/log=([^/]+)/", 1)
+    stream = live.watch_trim_logs(spark, folder, named, quiet_seconds=0)
     out = new_path(spark, "live-counts")
     live.start(stream, out, new_path(spark, "stream")).awaitTermination()
     return live.read_counts(spark, out)
