@@ -87,7 +87,7 @@ def windows(
     order = [F.col("conv_id"), F.col("turn"), F.col("head"), F.col("body")]
     conv = Window.partitionBy("conv_id").orderBy(*order[1:])
     before = conv.rowsBetween(Window.unboundedPreceding, -1)
-    counted = _with_tokens(turns, tokenizer, spaces)
+    counted = stored(_with_tokens(turns, tokenizer, spaces), "chat-turns")  # read more than once, encoded once
     numbered = (
         counted.withColumn("pos", F.row_number().over(conv))
         .withColumn("first", (F.col("pos") == 1) & F.col("is_system"))

@@ -85,17 +85,19 @@ def held_out(doc_id: Column) -> Column:
 def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     """``(lang, x)``: feature vectors of at most ``per_language`` rows of each language.
 
-    Rows are chosen by the hash of their id. A first cut by the languages' counts keeps the exact
+    Rows are chosen by the hash of their id, and an id counts once per language, with the text of the
+    smallest hash, however many rows repeat it. A first cut by the languages' counts keeps the exact
     choice among few rows, whatever share one language has.
     """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     chance = F.xxhash64(F.col("doc_id"), F.lit("language sample")).bitwiseAND((1 << 53) - 1) / F.lit(float(1 << 53))
-    ids = labelled.select("lang", "doc_id", chance.alias("_u"))
-    counts = ids.groupBy("lang").agg((F.lit(4.0 * per_language) / F.count(F.lit(1))).alias("_rate"))
+    ids = labelled.select("lang", "doc_id").distinct().withColumn("_u", chance)
+    # One row per language, as there is one machine for each: bounded, so broadcast.
+    counts = F.broadcast(ids.groupBy("lang").agg((F.lit(4.0 * per_language) / F.count(F.lit(1))).alias("_rate")))
     few = ids.join(counts, "lang").where("_u < _rate")
     best = few.withColumn("_rn", F.row_number().over(Window.partitionBy("lang").orderBy("_u", "doc_id")))
     # At most per_language rows for each language: bounded by the parameter, so broadcast.
-    chosen = F.broadcast(best.where(F.col("_rn") <= per_language).select("doc_id").distinct())
+    chosen = F.broadcast(best.where(F.col("_rn") <= per_language).select("doc_id", "lang"))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,8 +107,9 @@ def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFr
                 ["lang", "x"],
             )
 
-    texts = labelled.join(chosen, "doc_id", "left_semi").select("lang", "text")
-    return texts.mapInArrow(vectors, "lang string, x binary")
+    found = labelled.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"])
+    texts = found.groupBy("doc_id", "lang").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return texts.select("lang", "text").mapInArrow(vectors, "lang string, x binary")
 
 
 class Models:

@@ -67,21 +67,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digests(docs, line_dedup.keep_bitmaps(docs))
 
 
-@_query(
-    "op5_chat_windows",
-    r"""
-    WITH c AS (
-      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-      UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
-      UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
-    )
-    SELECT conv_id, count(*) AS n_turns,
-      sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
-      coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
-      sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256
-    FROM c GROUP BY conv_id
-    """,
-)
+@_query("op5_chat_windows")
 def op5_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every conversation, read back from its written windows."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
