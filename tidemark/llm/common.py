@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import ctypes
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -44,6 +46,22 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+def freeing(rows: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The batch function, which at the end of a partition gives unused memory back to the system.
+
+    Workers serve many partitions; without this they keep the most that one partition needed.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        yield from rows(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library, where it has it
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

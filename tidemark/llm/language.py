@@ -16,6 +16,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.llm.common import freeing
+
 DIMENSIONS = 1 << 12
 #: Bound of the training sample: rows for each language.
 PER_LANGUAGE = 400
@@ -109,7 +111,7 @@ def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFr
 
     found = labelled.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"])
     texts = found.groupBy("doc_id", "lang").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-    return texts.select("lang", "text").mapInArrow(vectors, "lang string, x binary")
+    return texts.select("lang", "text").mapInArrow(freeing(vectors), "lang string, x binary")
 
 
 class Models:

@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import free_names, parts, stored
+from tidemark.llm.common import free_names, freeing, parts, stored
 
 MIN_KEY_CHARS = 10
 _BLANKS = b"\x09\x0a\x0b\x0c\x0d\x20"
@@ -53,7 +53,7 @@ def hash_lines(docs: DataFrame, least: int = MIN_KEY_CHARS) -> DataFrame:
             )
 
     known = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
-    return known.mapInArrow(rows, "h1 long, h2 long, doc_id long, line int")
+    return known.mapInArrow(freeing(rows), "h1 long, h2 long, doc_id long, line int")
 
 
 def _stream_firsts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -132,21 +132,34 @@ def kept_lines(text: str | None, n_bits: int, keep: bytes) -> list[bytes]:
 
 
 def drop_lines(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """``docs`` with each text cut to its kept lines; ``n_chars``, where present, follows it."""
+    """``docs`` with each text cut to its kept lines; ``n_chars``, where present, follows it.
 
-    @F.pandas_udf("string")
-    def cut(text: pd.Series, n_bits: pd.Series, keep: pd.Series) -> pd.Series:
-        rows = zip(text, n_bits, keep, strict=True)
-        return pd.Series([b"\n".join(kept_lines(t, int(n), k)).decode() for t, n, k in rows], dtype=object)
+    One pass over the documents beside their bitmaps; batches without a bitmap go through as they are.
+    """
+    columns = list(docs.columns)
+    text_at = columns.index("text")
+    chars_at = columns.index("n_chars") if "n_chars" in columns else None
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_bits, keep = (batch.column(len(columns) + k) for k in (0, 1))
+            hit = np.flatnonzero(keep.is_valid().to_numpy(zero_copy_only=False))
+            out = list(batch.columns[: len(columns)])
+            if len(hit):
+                texts = out[text_at].to_pylist()
+                sizes = out[chars_at].to_pylist() if chars_at is not None else None
+                for k in hit.tolist():
+                    texts[k] = b"\n".join(kept_lines(texts[k], n_bits[k].as_py(), keep[k].as_py())).decode()
+                    if sizes is not None:
+                        sizes[k] = len(texts[k])
+                out[text_at] = pa.array(texts, batch.schema.field(text_at).type)
+                if sizes is not None:
+                    out[chars_at] = pa.array(sizes, batch.schema.field(chars_at).type)
+            yield pa.RecordBatch.from_arrays(out, columns)
 
     key, n_bits, keep = free_names(docs, "bits_id", "n_bits", "keep")
     marked = docs.join(bitmaps.select("doc_id", "n_bits", "keep").toDF(key, n_bits, keep), F.col("doc_id") == F.col(key), "left")
-    hit = F.col(keep).isNotNull()
-    whole = marked.where(~hit).select(*docs.columns)
-    shorter = marked.where(hit).withColumn("text", cut("text", n_bits, keep))
-    if "n_chars" in docs.columns:
-        shorter = shorter.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return whole.union(shorter.select(*docs.columns))
+    return marked.select(*columns, n_bits, keep).mapInArrow(freeing(cut), docs.schema)
 
 
 def line_digests(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
