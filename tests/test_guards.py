@@ -9,7 +9,7 @@ from tidemark.operators import denoise as dn
 from tidemark.operators import taxonomy as tx
 from tidemark.operators.clustering import propagate_lowest
 from tidemark.functions.ranks import RANKS
-from tidemark.operators.reads import demultiplex
+from tidemark.operators.tags import demultiplex
 
 
 def failing(df, text):

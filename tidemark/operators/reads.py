@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.sequences import (
     IUPAC_SETS,
     expected_errors,
-    reverse_complement,
     reverse_complement_text,
     truncated_length,
 )
@@ -194,37 +193,6 @@ def realign(flagged: DataFrame) -> DataFrame:
     return kept.unionByName(turned)
 
 
-def demultiplex(pairs: DataFrame, tags: DataFrame) -> DataFrame:
-    """Sample of each pair by the exact tag both mates start with, per library; tags are cut.
-
-    Tags are looked up by (library, length, bases), once per tag length in use. Pairs without a tag, and the name
-    ``unknown``, are dropped. A tag's reverse complement at the end of a mate is cut too.
-    """
-    lengths = sorted(r[0] for r in tags.select(F.length("tag")).distinct().collect())
-    if not lengths:
-        raise ValueError("no tag to look for")
-    keyed = tags.where(F.lower("sample") != "unknown").select(
-        "library", F.upper("tag").alias("_tag"), F.col("sample").alias("_sample")
-    )
-    heads = F.array(*[F.upper(F.substring("r1_seq", 1, n)) for n in lengths])
-    cand = pairs.withColumn("_tag", F.explode(heads)).where(
-        F.upper("r2_seq").startswith(F.col("_tag"))
-    )
-    hit = cand.join(keyed, ["library", "_tag"])
-    n = F.length("_tag")
-    tail = reverse_complement("_tag")
-    out = hit
-    for i in (1, 2):
-        seq, qual = f"r{i}_seq", f"r{i}_qual"
-        keep = F.length(seq) - n - F.when(F.upper(seq).endswith(tail), n).otherwise(F.lit(0))
-        out = out.withColumns(
-            {f"_s{i}": F.substring(F.col(seq), n + 1, keep), f"_q{i}": F.substring(F.col(qual), n + 1, keep)}
-        )
-    renamed = {f"_{x}{i}": f"r{i}_{name}" for i in (1, 2) for x, name in (("s", "seq"), ("q", "qual"))}
-    out = out.withColumn("sample", F.col("_sample")).drop(*renamed.values(), "_tag", "_sample")
-    return out.withColumnsRenamed(renamed)
-
-
 def sample_failures(demultiplexed: DataFrame, tags: DataFrame, max_rate: float = 0.5) -> DataFrame:
     """Per library: samples with a tag, samples without a read, whether too many failed."""
     seen = demultiplexed.groupBy("library", "sample").agg(F.count(F.lit(1)).alias("_n"))

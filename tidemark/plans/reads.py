@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.sequences import expected_errors, reverse_complement
 from tidemark.operators import reads as rd
+from tidemark.operators import tags as tg
 from tidemark.plans.registry import query
 from tidemark.plans.sources import FORWARD_PRIMER, REVERSE_PRIMER, _AMPLICON, _RCSQL
 from tidemark.plans.views import VIEWS, ctes, view
@@ -194,7 +195,7 @@ demux AS (SELECT t.library, k.sample, read_no, substring(r1_seq, 9, 32) AS r1_se
 
 @query("r4_demultiplex", _DEMUX + " SELECT * FROM demux")
 def _(spark, sf):
-    return rd.demultiplex(view(spark, sf, "tagged"), view(spark, sf, "tag_table"))
+    return tg.demultiplex(view(spark, sf, "tagged"), view(spark, sf, "tag_table"), 0)
 
 
 @query(
@@ -207,7 +208,64 @@ def _(spark, sf):
 )
 def _(spark, sf):
     tags = view(spark, sf, "tag_table")
-    return rd.sample_failures(rd.demultiplex(view(spark, sf, "tagged"), tags), tags)
+    return rd.sample_failures(tg.demultiplex(view(spark, sf, "tagged"), tags, 0), tags)
+
+
+# The same with a spacer of up to five bases before the tags, and tags with ambiguity codes; two samples share a tag.
+VIEWS["spaced"] = """
+SELECT read_no, library, concat(substring('TGACT', 1, CAST(read_no % 6 AS INT)), r1_seq) AS r1_seq, concat(repeat('#', CAST(read_no % 6
+  AS INT)), r1_qual) AS r1_qual, concat(substring('GTCAG', 1, CAST(read_no % 4 AS INT)), r2_seq) AS r2_seq, concat(repeat('#',
+  CAST(read_no % 4 AS INT)), r2_qual) AS r2_qual FROM tagged"""
+VIEWS["vague_tags"] = """
+SELECT library, sample, concat(substring(tag, 1, 2), CASE WHEN substring(tag, 3, 1) IN ('A', 'G') THEN 'R' ELSE 'Y' END, substring(tag, 4, 2),
+  CASE WHEN library = 'LIB0' THEN 'N' ELSE substring(tag, 6, 1) END, substring(tag, 7)) AS tag FROM tag_table
+UNION ALL SELECT library, concat(sample, '-twin'), tag FROM tag_table WHERE library = 'LIB3' AND sample LIKE '%-7'"""
+_PATTERN = "'^' || replace(replace(replace(tag, 'R', '[AG]'), 'Y', '[CT]'), 'N', '[ACGT]') || '$'"
+_BEHIND = f"replace(replace(replace({_RCSQL.format(c='tag').replace('ACGT', 'ACGTRYN').replace('TGCA', 'TGCAYRN')}, 'R', '[AG]'), 'Y', '[CT]'), 'N', '[ACGT]') || '$'"
+
+
+def _tag_at(mate: str) -> str:
+    found = f"regexp_matches(substr({mate}_seq, o + 1, length(tag)), {_PATTERN})"
+    return f"""(SELECT read_no, t.library, sample, tag, min(o) AS o FROM spaced t JOIN vague_tags k ON k.library = t.library, range(0, 6) g(o)
+  WHERE {found} AND lower(sample) <> 'unknown' GROUP BY ALL)"""
+
+
+def _without_tag(mate: str, part: str) -> str:
+    seq, place = f"{mate}_seq", f"c.o{mate[1]}"
+    tail = f"CASE WHEN regexp_matches(substr({seq}, {place} + length(tag) + 1), {_BEHIND}) THEN length(tag) ELSE 0 END"
+    return f"substr({mate}_{part}, {place} + length(tag) + 1, length({seq}) - {place} - length(tag) - {tail}) AS {mate}_{part}"
+
+
+_SPACED = ctes("tagged", "tag_table") + "".join(f", {n} AS ({VIEWS[n].strip()})" for n in ("spaced", "vague_tags")) + f""",
+cand AS (SELECT a.*, a.o AS o1, b.o AS o2, row_number() OVER w AS rn, a.o + b.o AS cost FROM {_tag_at('r1')} a JOIN {_tag_at('r2')} b
+  USING (read_no, sample, tag) WINDOW w AS (PARTITION BY read_no ORDER BY a.o + b.o, length(tag) DESC)),
+best AS (SELECT read_no, count(DISTINCT sample) AS n FROM cand JOIN (SELECT read_no, min(cost * 100 - length(tag)) AS least FROM cand GROUP BY
+  read_no) USING (read_no) WHERE cost * 100 - length(tag) = least GROUP BY read_no)"""
+
+
+def _spaced(spark, sf):
+    tables = {n: view(spark, sf, n) for n in ("tagged", "tag_table")}
+    return spark.sql(VIEWS["spaced"].replace("FROM tagged", "FROM {tagged}"), tagged=tables["tagged"]), spark.sql(
+        VIEWS["vague_tags"].replace("FROM tag_table", "FROM {tag_table}"), tag_table=tables["tag_table"]
+    )
+
+
+@query(
+    "r4_demultiplex_spaced",
+    _SPACED + f""" SELECT c.library, c.sample, read_no, {', '.join(_without_tag(m, p) for m in ('r1', 'r2') for p in ('seq', 'qual'))} FROM cand c
+    JOIN best USING (read_no) JOIN spaced USING (read_no) WHERE rn = 1 AND n = 1""",
+)
+def _(spark, sf):
+    return tg.demultiplex(*_spaced(spark, sf))
+
+
+@query(
+    "r4_tag_report",
+    _SPACED + """ SELECT library, count(CASE WHEN n = 1 THEN 1 END) AS assigned, count(CASE WHEN n > 1 THEN 1 END) AS ambiguous, count(CASE WHEN
+    n IS NULL THEN 1 END) AS unmatched FROM spaced LEFT JOIN best USING (read_no) GROUP BY library""",
+)
+def _(spark, sf):
+    return tg.tag_report(*_spaced(spark, sf))
 
 
 _LEN = "coalesce(nullif(length(regexp_extract({c}, '^[^!-,]*')), -1), length({c}))"
