@@ -229,21 +229,6 @@ def filter_quality(
     return df.drop("_k1", "_k2")
 
 
-def without_genome(pairs: DataFrame, genome: str, word: int = 16, min_hits: int = 2) -> DataFrame:
-    """Drop pairs of which a mate shares words with a spike-in genome, in either strand."""
-    if len(genome) > 1_000_000:
-        raise ValueError("a spike-in genome is short; search a large reference instead")
-    both = (genome.upper(), reverse_complement_text(genome))
-    words = frozenset(g[i : i + word] for g in both for i in range(len(g) - word + 1))
-
-    @F.pandas_udf("int")
-    def shared(seq: pd.Series) -> pd.Series:
-        return seq.map(lambda s: sum(s[i : i + word] in words for i in range(0, len(s) - word + 1, word)))
-
-    once = shared.asNondeterministic()
-    return pairs.where((once("r1_seq") < min_hits) & (once("r2_seq") < min_hits))
-
-
 def _merge_batch(r1, q1, r2, q2, min_overlap: int, max_diffs: int, stagger: bool) -> pd.DataFrame:
     """Best overlap of R1 with the reverse complement of R2, reads of equal length together."""
     flip = np.zeros(256, dtype=np.uint8)

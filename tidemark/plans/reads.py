@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.sequences import expected_errors, reverse_complement
 from tidemark.operators import reads as rd
 from tidemark.operators import tags as tg
+from tidemark.operators.spike_in import without_genome
 from tidemark.plans.registry import query
 from tidemark.plans.sources import FORWARD_PRIMER, REVERSE_PRIMER, _AMPLICON, _RCSQL
 from tidemark.plans.views import VIEWS, ctes, view
@@ -298,7 +299,7 @@ def _(spark, sf):
 def _(spark, sf):
     p = pairs(spark, sf)
     amps = view(spark, sf, "amplicons").where("event_id IN (3, 4)").select("amp").collect()
-    return rd.without_genome(p, "".join(r[0][17:81] for r in amps), min_hits=1)
+    return without_genome(p, "".join(r[0][17:81] for r in amps), min_hits=1)
 
 
 VIEWS["amplicons"] = _AMPLICON
