@@ -1,5 +1,9 @@
 """The helpers that keep hot keys from loading one task."""
 
+import random
+import statistics
+
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark import skew
@@ -45,3 +49,17 @@ def test_hot_key_is_found_and_salted_join_is_exact(spark, monkeypatch):
 def test_without_hot_keys_the_join_is_plain(spark):
     rows = spark.range(0, 100).withColumnRenamed("id", "k").withColumn("x", F.col("k"))
     assert skew.hot_keys(rows, ["k"]) is None
+
+
+@pytest.mark.parametrize("values", [[], [None], [3.5], [1, 2], [5, 1, 5, 5], [2] * 50 + [9], [None, 4, 1, 7, 7, 2.25]])
+def test_median_equals_the_sorted_middle(spark, values):
+    df = spark.createDataFrame([(None if v is None else float(v),) for v in values], "x double").repartition(3)
+    known = [v for v in values if v is not None]
+    assert skew.exact_median(df, df.x) == (statistics.median(known) if known else None)
+
+
+def test_median_over_many_partitions(spark):
+    r = random.Random(2)
+    values = [r.choice([r.gauss(0, 1), r.randrange(5)]) for _ in range(3001)]
+    df = spark.createDataFrame([(v,) for v in map(float, values)], "x double").repartition(7)
+    assert skew.exact_median(df, df.x) == statistics.median(values)

@@ -21,9 +21,14 @@ CONTROL_FLAG = "in_negative_control"
 
 
 def last_manifest_rows(manifest: DataFrame) -> DataFrame:
-    """One row for each eventID: its last in the manifest's order."""
+    """One row for each eventID: its last in the manifest's order.
+
+    That is the order of ``row_no``, which scans carry. A manifest without it must not have been
+    shuffled, as its rows then go by where they lie.
+    """
     fields = ["samp_category", "neg_cont_type", "extraction_ID"]
-    ordered = manifest.select("eventID", F.struct(*fields).alias("_m"), F.monotonically_increasing_id().alias("_row"))
+    place = F.col("row_no") if "row_no" in manifest.columns else F.monotonically_increasing_id()
+    ordered = manifest.select("eventID", F.struct(*fields).alias("_m"), place.alias("_row"))
     return ordered.groupBy("eventID").agg(F.max_by("_m", "_row").alias("_m")).select("eventID", "_m.*")
 
 

@@ -10,7 +10,7 @@ from tidemark.functions.controls import is_negative_control
 from tidemark.functions.nulls import is_assigned
 from tidemark.functions.ranks import RANKS, finest_taxon
 from tidemark.functions.text import EVENT_LEVELS, line_level
-from tidemark.skew import rank_by_position
+from tidemark.skew import exact_median, rank_by_position
 
 
 def _r(rank: str) -> Column:
@@ -20,11 +20,11 @@ def _r(rank: str) -> Column:
 def feature_metrics(counts: DataFrame, sequences: DataFrame | None = None) -> DataFrame:
     """Features, samples, reads, exact median abundance and sequence lengths: one row."""
     per_feature = counts.groupBy("asv_id").agg(F.sum("reads").alias("total"))
+    median = exact_median(per_feature, F.col("total"))
     row = per_feature.agg(
         F.count(F.lit(1)).alias("n_features"),
         F.sum("total").alias("total_abundance"),
-        F.median("total").alias("median_abundance"),
-    ).withColumn("n_samples", counts.agg(F.count_distinct("eventID")).scalar())
+    ).withColumn("median_abundance", F.lit(median).cast("double")).withColumn("n_samples", counts.agg(F.count_distinct("eventID")).scalar())
     if sequences is None:
         return row
     lengths = sequences.agg(
@@ -92,9 +92,8 @@ def chimera_classes(table: DataFrame) -> DataFrame:
 def distribution(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width histogram of a numeric column with its exact median on every row."""
     value = F.col(column).cast("double")
-    edges = df.where(value.isNotNull()).agg(
-        F.min(value).alias("lo"), F.max(value).alias("hi"), F.median(value).alias("mid")
-    )
+    edges = df.where(value.isNotNull()).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
+    median = F.lit(exact_median(df, value)).cast("double")
     lo, hi = edges.select("lo").scalar(), edges.select("hi").scalar()
     width = (hi - lo) / F.lit(bins)
     at = F.when(width > 0, F.least(F.floor((value - lo) / width), F.lit(bins - 1))).otherwise(F.lit(0))
@@ -102,7 +101,7 @@ def distribution(df: DataFrame, column: str, bins: int) -> DataFrame:
         df.where(value.isNotNull())
         .groupBy(at.cast("int").alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumns({"lo": lo + width * F.col("bin"), "median": edges.select("mid").scalar()})
+        .withColumns({"lo": lo + width * F.col("bin"), "median": median})
     )
 
 
@@ -138,13 +137,12 @@ def run_totals(tracking: DataFrame, taxonomy: DataFrame, final_step: str, chimer
     tax = taxonomy.agg(
         F.count(F.lit(1)).alias("n"),
         *[F.count(F.when(is_assigned(r), 1)).alias(r) for r in ("species", "genus", "phylum")],
-        F.median("pident").alias("mid"),
     )
     total = tax.select("n").scalar()
     row = row.withColumn("n_features", total)
     for r in ("species", "genus", "phylum"):
         row = row.withColumn(f"{r}_pct", F.try_divide(tax.select(r).scalar(), total) * 100)
-    row = row.withColumn("median_identity", tax.select("mid").scalar())
+    row = row.withColumn("median_identity", F.lit(exact_median(taxonomy, F.col("pident"))).cast("double"))
     if chimera is not None:
         removed = chimera.agg(F.count(F.when(F.col("chimera") == "Y", 1))).scalar()
         row = row.withColumn("chimeras_removed", removed)

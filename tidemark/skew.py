@@ -64,6 +64,30 @@ def rank_by_position(
     )
 
 
+def exact_median(df: DataFrame, value: Column) -> float | None:
+    """Median of the values that are not null, the mean of the two middle ones if their number is even.
+
+    Equal values are counted first; the counts are sorted by range, and per partition only its total
+    goes through the driver, which tells the partitions of the middle ranks. No task holds all values.
+    """
+    held = df.select(value.cast("double").alias("v")).where("v IS NOT NULL").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    parts = cut_lineage(held.repartitionByRange("v").sortWithinPartitions("v").withColumn("_pid", F.spark_partition_id()))
+    sizes = sorted((r["_pid"], r["n"]) for r in parts.groupBy("_pid").agg(F.sum("n").alias("n")).collect())
+    total = sum(n for _, n in sizes)
+    if not total:
+        return None
+    found, before = [], 0
+    for pid, n in sizes:
+        ranks = [r - before for r in sorted({(total - 1) // 2, total // 2}) if before <= r < before + n]
+        if ranks:
+            upto = F.sum("n").over(Window.partitionBy("_pid").orderBy("v"))
+            own = parts.where(F.col("_pid") == pid).withColumn("_upto", upto)
+            for r in ranks:
+                found.append(own.where(F.col("_upto") > r).agg(F.min("v")).first()[0])
+        before += n
+    return sum(found) / len(found)
+
+
 def hot_keys(rows: DataFrame, keys: Sequence[str], shares: int = HOT_SHARES) -> DataFrame | None:
     """Keys that hold more than ``1/shares`` of the rows, or None when there are none.
 
