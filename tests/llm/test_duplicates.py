@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import duckdb
+import numpy as np
 import pytest
 
 from tidemark.llm import jaccard_join, line_dedup, phrase_automata, suffix_dedup
@@ -88,6 +89,23 @@ def test_jaccard_at_the_threshold_and_in_chains(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == linked_components(rows)
 
 
+def test_pairs_must_meet_in_every_order(spark):
+    """No pair that links is lost by the filters, and pairs that only share a few tokens are."""
+    r = random.Random(9)
+    sets = {0: [], 1: []}
+    pairs = []
+    for k in range(300):
+        base = [r.getrandbits(64) for _ in range(60)]
+        other = base[: 54 if k % 2 else 2] + [r.getrandbits(64) for _ in range(6 if k % 2 else 58)]
+        pairs.append((2 * k, 2 * k + 1))
+        sets |= {2 * k: sorted(base), 2 * k + 1: sorted(other)}
+    rows = [(i, np.array(t, np.uint64).tobytes()) for i, t in sets.items()]
+    prefixes = jaccard_join._order_prefixes(spark.createDataFrame(rows, "doc_id long, tokens binary"))
+    passed = {p.a for p in jaccard_join.met_in_all_orders(spark.createDataFrame(pairs, "a long, b long"), prefixes).collect()}
+    assert {2 * k for k in range(300) if k % 2} <= passed
+    assert len(passed) < 200
+
+
 def test_components_of_a_path(spark):
     edges = spark.range(1, 400).selectExpr("id AS a", "id - 1 AS b")
     assert {r["label"] for r in components(edges).collect()} == {0}

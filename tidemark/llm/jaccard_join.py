@@ -6,7 +6,9 @@
    left are sets that others hold mostly, one for each group of equal sets; for these the tokens
    are counted. A token that only one set holds bounds what it can share with any other.
 2. Multiple-global-order filtering. In the first order rarer tokens come first; the other orders
-   are hashes. A pair must share a prefix token in every order before its sets are compared.
+   are hashes. Each set's prefixes in the other orders are kept beside it, in 32 bits a token. A pair that
+   met in the first order must share a prefix token in each of the others, too; only what passes all
+   filters fetches its sets.
 3. No pairs within a group. A bucket of the first order first offers its members to one hub
    each, the set with the fewest tokens of its own; links merge groups, and only members of
    different groups of a bucket are paired later, if what both can share allows a link.
@@ -30,8 +32,6 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 #: Order 2 and 3 sort tokens by the mixed hash of token xor salt.
 SALTS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-#: Pairs up to this number may be broadcast to fetch their sets; more are joined by shuffle.
-SMALL_PAIRS = 200_000
 HUB_ROUNDS = 2
 #: Bytes of a token that are kept to count its holders; a chance collision only costs work.
 WIDTH = 6
@@ -229,25 +229,46 @@ def _prefixes(sets: DataFrame) -> DataFrame:
     return both.select("doc_id", "n", "tokens", "known", "often").mapInArrow(rows, "doc_id long, n int, s int, prefix array<bigint>")
 
 
-def _order_prefix(tokens: np.ndarray, salt: int) -> np.ndarray:
+def order_prefix(tokens: np.ndarray, salt: int) -> np.ndarray:
+    """The first tokens in the order of a salt, as many as any partner must share one of, in 32 bits."""
     length = len(tokens) - least_overlap(len(tokens)) + 1
     ranks = mixed(tokens ^ np.uint64(salt))
-    return np.partition(ranks, length - 1)[:length] if length < len(tokens) else ranks
+    first = np.partition(ranks, length - 1)[:length] if length < len(tokens) else ranks
+    # the lower bits, as the upper ones are alike in a prefix; a chance collision only lets a pair pass
+    return np.unique(first.astype(np.uint32)).view(np.int32)
+
+
+def _order_prefixes(sets: DataFrame) -> DataFrame:
+    """``(doc_id, o2, o3)``: the prefixes of every set in the orders after the first."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [np.frombuffer(t, np.uint64) for t in batch.column(1).to_pylist()]
+            columns = [pa.array([order_prefix(t, salt) for t in own], pa.list_(pa.int32())) for salt in SALTS]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "o2", "o3"])
+
+    made = sets.select("doc_id", "tokens").mapInArrow(rows, "doc_id long, o2 array<int>, o3 array<int>")
+    return stored(made, "order-prefixes")
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sorted sets link: prefixes meet in the other orders, then the exact ratio."""
+    """Whether two sorted sets link, by the exact ratio."""
     if 100 * min(len(a), len(b)) < PERCENT * max(len(a), len(b)):
         return False
-    for salt in SALTS:
-        if not len(np.intersect1d(_order_prefix(a, salt), _order_prefix(b, salt), assume_unique=True)):
-            return False
     both = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``(a, b)`` of the pairs that link."""
+def met_in_all_orders(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """``(a, b)`` of the pairs whose prefixes meet in every order after the first."""
+    of_a = prefixes.select(F.col("doc_id").alias("a"), F.col("o2").alias("a2"), F.col("o3").alias("a3"))
+    of_b = prefixes.select(F.col("doc_id").alias("b"), F.col("o2").alias("b2"), F.col("o3").alias("b3"))
+    both = pairs.join(of_b, "b").join(of_a, "a")
+    return both.where(F.arrays_overlap("a2", "b2") & F.arrays_overlap("a3", "b3")).select("a", "b")
+
+
+def _verify(pairs: DataFrame, sets: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """``(a, b)`` of the pairs that link: filtered by all orders, then compared as whole sets."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -257,13 +278,10 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 [pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], ["a", "b"]
             )
 
-    few = pairs.count() <= SMALL_PAIRS
-    with_b = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y")).join(F.broadcast(pairs) if few else pairs, "b")
+    passed = stored(met_in_all_orders(pairs, prefixes), "filtered-pairs")
+    of_b = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y"))
     of_a = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x"))
-    if few:  # the first join's rows are as many as the pairs; their sets go by shuffle
-        only = F.broadcast(pairs.select("a").distinct())
-        of_a = of_a.join(only, "a", "left_semi")
-    return with_b.join(of_a, "a").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
+    return passed.join(of_b, "b").join(of_a, "a").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
 def _label(rows: DataFrame, links: DataFrame | None) -> DataFrame:
@@ -287,6 +305,7 @@ def set_links(sets: DataFrame) -> DataFrame:
     """Links ``(a, b)`` that connect what the similarity connects; copies of a set occur once."""
     placed = _prefixes(sets).select("doc_id", "n", F.col("s").alias("all_s"), F.posexplode("prefix").alias("at", "t"))
     entries = stored(placed.select("doc_id", "n", "all_s", (F.col("all_s") - F.col("at")).alias("s"), "t"), "prefix-entries")
+    prefixes = _order_prefixes(sets)
     links: DataFrame | None = None
     for turn in range(HUB_ROUNDS):
         labelled = _label(entries, links)
@@ -301,7 +320,7 @@ def set_links(sets: DataFrame) -> DataFrame:
         if turn == 0:  # each document's most frequent hub
             counted = counted.groupBy("doc_id").agg(F.max_by("hub", F.struct("c", -F.col("hub"))).alias("hub"))
         pairs = stored(counted.select(F.col("doc_id").alias("a"), F.col("hub").alias("b")), "hub-pairs")
-        found = stored(_verify(pairs, sets), "hub-links")
+        found = stored(_verify(pairs, sets, prefixes), "hub-links")
         links = found if links is None else links.union(found)
     labelled = stored(_label(entries, links), "prefix-labelled")
     mixed_buckets = labelled.groupBy("t").agg(F.min("label").alias("_l1"), F.max("label").alias("_l2")).where("_l1 < _l2")
@@ -312,7 +331,7 @@ def set_links(sets: DataFrame) -> DataFrame:
         (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _may_link(F.col("na"), F.col("sa"), F.col("nb"), F.col("sb"))
     )
     pairs = stored(across.select("a", "b").distinct(), "cross-pairs")
-    return stored(links.union(_verify(pairs, sets)), "set-links")
+    return stored(links.union(_verify(pairs, sets, prefixes)), "set-links")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
