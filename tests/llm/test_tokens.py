@@ -106,6 +106,23 @@ def test_packing_of_lengths(spark, lengths):
     assert len(sequences) <= 1.3 * max(-(-sum(lengths) // 16), sum(n > 8 for n in lengths)) + 1
 
 
+@pytest.mark.parametrize("limit", [7, 64, 2048])
+def test_slots_hold_every_rank_once(limit):
+    r = np.random.default_rng(limit)
+    sizes = np.minimum(limit - 1, np.exp(r.normal(np.log(limit) - 1.5, 1.0, 5000)).astype(int) + 1)
+    counts = dict(zip(*(c.tolist() for c in np.unique(sizes, return_counts=True)), strict=True))
+    slots = packing.fill(dict(counts), limit)
+    size = np.repeat(list(counts), list(counts.values()))
+    rank = np.concatenate([np.arange(n) for n in counts.values()])
+    sequence, offset = slots.places(size, rank)
+    order = np.lexsort((offset, sequence))
+    sequence, offset, size = sequence[order], offset[order], size[order]
+    first = np.r_[True, sequence[1:] != sequence[:-1]]
+    assert (offset[first] == 0).all() and (offset + size).max() <= limit
+    assert (offset[~first] == (offset + size)[:-1][~first[1:]]).all()
+    assert first.sum() <= 1.01 * size.sum() / limit + 3
+
+
 def test_queries_on_the_small_tables(spark):
     rows = QUERIES["op4_best_fit_packing"](spark, SMALL).collect()
     sequences, _ = check_packing(rows, 2048)

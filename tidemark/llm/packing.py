@@ -1,28 +1,31 @@
 """Operator 4: best-fit packing of documents into token sequences, in bulk-synchronous rounds.
 
-A round range-sorts the unplaced pieces and the open gaps together by size. Read upwards, every
-gap takes the largest piece before it that no smaller gap took: a piece is an opening bracket,
-a gap a closing one, and brackets of one depth that follow each other belong together. So the
-sweep for successors is a prefix sum (partition sums, then offsets) that gives the depth, and
-conflicts for one gap are resolved by rank within a depth. Gaps shrink by what they took, and
-the rounds repeat until no piece is left. No task holds more than a partition of the sort or
-the brackets of one depth, and equal sizes may be split over partitions.
+Pieces of one size are alike, so the rounds work on size classes: how many pieces wait and how many gaps are
+open of each size. There are at most as many classes as a sequence has tokens, whatever the number of documents.
+Read upwards by size, every gap takes the largest piece before it that no smaller gap took: the sweep for
+successors keeps the waiting classes on a stack. Gaps shrink by what they took, and the rounds repeat
+until no piece is left. What a round matches is written as slots: the next so many pieces of a size, by
+rank, go to so many consecutive sequences at one offset.
+
+The documents take part twice: their sizes are counted, and a range sort by size and place gives each
+its rank in its class. The slot of a rank is found by binary search. No task holds more than a partition
+of the sort, and equal sizes may be split over partitions.
 """
 
 from __future__ import annotations
 
-import math
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Observation, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import stored
 from tidemark.llm.tokens import encoder, local_path
+from tidemark.skew import number_rows
 
 SEQUENCE_TOKENS = 2048
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -59,51 +62,90 @@ def cut_pieces(
     return docs.select("doc_id", "text").mapInArrow(cut, _PIECE)
 
 
-def _local_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Running sum of +1 per piece and -1 per gap within a partition of the sort."""
-    part, at, total = TaskContext.get().partitionId(), 0, 0
-    for pdf in batches:
-        steps = np.where(pdf["gap"], -1, 1)
-        sums = np.cumsum(steps) + total
-        yield pdf.assign(part=np.int32(part), pos=np.arange(at, at + len(pdf)), local=sums, step=steps)
-        if len(pdf):
-            at, total = at + len(pdf), int(sums[-1])
-
-
-def match_round(events: DataFrame) -> DataFrame:
-    """``(size, gap, id, mate, mate_size)``: every piece and gap with what it is matched to."""
-    swept = stored(
-        events.repartitionByRange("size", "gap", "id")  # adaptive execution merges small partitions
-        .sortWithinPartitions("size", "gap", "id")
-        .mapInPandas(
-            _local_sums, "size long, gap boolean, id long, part int, pos long, local long, step long"
-        ),
-        "pack-sweep",
-    )
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = swept.groupBy("part").agg(F.sum("step").alias("_s"))  # one row per partition
-    offsets = sums.select("part", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"))
-    depth = F.col("_off") + F.col("local") + F.when(F.col("gap"), 1).otherwise(0)
-    rank = Window.partitionBy("depth").orderBy("part", "pos")
-    mate = F.when(F.col("gap"), F.lag(F.struct("id", "size")).over(rank)).otherwise(
-        F.lead(F.struct("id", "size")).over(rank)
-    )
-    return (
-        swept.join(F.broadcast(offsets), "part")
-        .withColumn("depth", depth)
-        .withColumn("_mate", mate)
-        .select("size", "gap", "id", F.col("_mate.id").alias("mate"), F.col("_mate.size").alias("mate_size"))
-    )
+@dataclass
+class Slots:
+    """Places by size and rank, ascending: ``count`` pieces from ``rank`` on go to sequences from ``sequence`` on."""
 
+    size: np.ndarray
+    rank: np.ndarray
+    sequence: np.ndarray
+    offset: np.ndarray
 
-def pack(pieces: DataFrame, limit: int = SEQUENCE_TOKENS) -> DataFrame:
-    """Pieces plus ``sequence_id`` and ``offset``: their place in a sequence of ``limit`` tokens.
+    def places(self, size: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(sequence, offset) of pieces by size and rank in their size."""
+        out = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
+        for s in np.unique(size):
+            own = slice(*np.searchsorted(self.size, [s, s + 1]))
+            at = np.flatnonzero(size == s)
+            slot = own.start + np.searchsorted(self.rank[own], rank[at], "right") - 1
+            out[0][at] = self.sequence[slot] + rank[at] - self.rank[slot]
+            out[1][at] = self.offset[slot]
+        return out
+
+
+def match_round(
+    waiting: dict[int, int], gaps: dict[int, list[tuple[int, int]]], limit: int
+) -> tuple[list[tuple[int, int, int, int]], dict[int, list[tuple[int, int]]]]:
+    """Matches ``(size, count, first sequence, offset)`` of one sweep, and the gaps that it leaves.
+
+    ``waiting`` has the number of pieces by size and is reduced; ``gaps`` has runs of consecutive
+    sequences by the size of their gap. A gap takes one piece a round.
+    """
+    matches, left, stack = [], defaultdict(list), []
+    for size in sorted(waiting.keys() | gaps.keys()):
+        if waiting.get(size):
+            stack.append(size)
+        for first, count in gaps.get(size, []):
+            while count and stack:
+                piece = stack[-1]
+                n = min(count, waiting[piece])
+                matches.append((piece, n, first, limit - size))
+                left[size - piece].append((first, n))
+                waiting[piece] -= n
+                first, count = first + n, count - n
+                if not waiting[piece]:
+                    stack.pop()
+            if count:
+                left[size].append((first, count))
+    return matches, left
+
+
+def fill(counts: dict[int, int], limit: int) -> Slots:
+    """The slots of all pieces, from the number of pieces of each size below ``limit``.
 
     The first round opens as many sequences as the tokens need at least. Later rounds open more
     only for tokens that all open gaps together cannot hold, or when nothing fits any more. Gaps
     that could take nothing are closed.
-    Pieces of full length are sequences by themselves. Pieces of no tokens do not occur, as
-    every document ends with an end id; a longer piece than ``limit`` is an error.
+    """
+    waiting = {s: n for s, n in counts.items() if n}
+    taken: dict[int, int] = defaultdict(int)
+    gaps: dict[int, list[tuple[int, int]]] = {}
+    slots, opened = [], 0
+    while waiting:
+        tokens = sum(s * n for s, n in waiting.items())
+        room = sum(s * n for s, runs in gaps.items() for _, n in runs)
+        fresh = max(0, -(-(tokens - room) // limit))
+        if not fresh and max(gaps, default=-1) < min(waiting):
+            fresh = max(1, -(-tokens // limit))
+        if fresh:
+            gaps.setdefault(limit, []).append((opened, fresh))
+            opened += fresh
+        matches, gaps = match_round(waiting, gaps, limit)
+        for size, n, first, offset in matches:
+            slots.append((size, taken[size], first, offset))
+            taken[size] += n
+        waiting = {s: n for s, n in waiting.items() if n}
+        least = min(waiting, default=0)
+        gaps = {s: runs for s, runs in gaps.items() if s >= max(1, least)}
+    columns = np.array(sorted(slots), np.int64).reshape(-1, 4).T
+    return Slots(*(np.ascontiguousarray(c) for c in columns))
+
+
+def pack(pieces: DataFrame, limit: int = SEQUENCE_TOKENS) -> DataFrame:
+    """Pieces plus ``sequence_id`` and ``offset``: their place in a sequence of ``limit`` tokens.
+
+    Pieces of full length are sequences by themselves. A longer piece than ``limit`` is an error.
+    Of equal sizes the pieces keep the order in which they are stored.
     """
     spark = pieces.sparkSession
     items = stored(pieces.withColumn("_item", F.monotonically_increasing_id()), "pack-items")
@@ -114,45 +156,23 @@ def pack(pieces: DataFrame, limit: int = SEQUENCE_TOKENS) -> DataFrame:
         .alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"),
     )
-    waiting = items.where(F.col("length") < limit).select(F.col("length").alias("size"), F.col("_item").alias("id"))
-    gaps = None
-    placed: list[DataFrame] = []
-    opened = 0
-    first = waiting.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("tokens"), F.min("size").alias("least")).first()
-    n, tokens, least, room, widest = first["n"], first["tokens"] or 0, first["least"] or 0, 0, 0
-    while n:
-        fresh = max(0, math.ceil((tokens - room) / limit))
-        if widest < least and not fresh:
-            fresh = math.ceil(tokens / limit)
-        new_gaps = spark.range(opened, opened + fresh).select(F.lit(limit).cast("long").alias("size"), "id")
-        opened += fresh
-        gaps = new_gaps if gaps is None else gaps.union(new_gaps)
-        events = waiting.select("size", F.lit(False).alias("gap"), "id").union(gaps.select("size", F.lit(True), "id"))
-        left = F.col("size") - F.coalesce("mate_size", F.lit(0))
-        piece = ~F.col("gap") & F.col("mate").isNull()
-        seen = Observation()
-        done = stored(
-            match_round(events).observe(
-                seen,
-                F.count_if(piece).alias("n"),
-                F.sum(F.when(piece, F.col("size"))).alias("tokens"),
-                F.min(F.when(piece, F.col("size"))).alias("least"),
-                F.sum(F.when(F.col("gap"), left)).alias("room"),
-                F.max(F.when(F.col("gap"), left)).alias("widest"),
-            ),
-            "pack-round",
-        )
-        took = done.where(~F.col("gap") & F.col("mate").isNotNull())
-        placed.append(took.select(F.col("id").alias("_item"), F.col("mate").alias("sequence_id"), (F.lit(limit) - F.col("mate_size")).alias("offset")))
-        state = {k: v or 0 for k, v in seen.get.items()}
-        n, tokens, least, room, widest = (state[k] for k in ("n", "tokens", "least", "room", "widest"))
-        waiting = done.where(piece).select("size", "id")
-        # A gap below the smallest waiting piece can take nothing any more.
-        gaps = done.where("gap").select(left.alias("size"), "id").where(F.col("size") >= max(1, least))
-    if not placed:
+    short = items.where(F.col("length") < limit)
+    sizes = short.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()  # fewer rows than a sequence has tokens
+    if not sizes:
         return full
-    places = placed[0]
-    for more in placed[1:]:
-        places = places.union(more)
-    short = items.where(F.col("length") < limit).join(places, "_item")
-    return full.union(short.select(*full.columns))
+    counts = {r["length"]: r["n"] for r in sorted(sizes)}
+    starts = dict(zip(counts, np.cumsum([0, *counts.values()]).tolist(), strict=False))
+    shared = spark.sparkContext.broadcast((fill(counts, limit), starts))  # follows the classes, not the pieces
+    columns, names = list(pieces.columns), list(full.columns)
+    length_at = columns.index("length")
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots, first = shared.value
+        for batch in batches:
+            size = batch.column(length_at).to_numpy()
+            rank = batch.column(len(columns)).to_numpy() - np.fromiter(map(first.__getitem__, size.tolist()), np.int64, len(size))
+            found = [pa.array(c) for c in slots.places(size, rank)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], *found], names)
+
+    numbered = number_rows(short, [F.asc("length"), F.asc("_item")], "_no", start=0)
+    return full.union(numbered.select(*columns, "_no").mapInArrow(place, full.schema))
