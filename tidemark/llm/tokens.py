@@ -13,6 +13,8 @@ from tidemark.llm.common import slices
 #: Pieces kept per Python worker, and the longest piece kept; both bound memory only.
 CACHE_PIECES = 1 << 18
 CACHE_CHARS = 48
+#: The special token between joined pieces, the mark by which pieces with special tokens are told, pieces a text.
+BETWEEN, MARK, JOINED = "<|endoftext|>", "<|", 256
 
 _OPEN: dict[tuple[str, str | None], PieceEncoder] = {}
 
@@ -37,13 +39,30 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.spaces = spaces
+        self.between = self.tokenizer.token_to_id(BETWEEN)
         self.known: dict[str, bytes | None] = {}
         self.first: dict[str, bytes | None] = {}
 
     def _direct(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _pieces(self, texts: list[str]) -> list[bytes]:
+        """Ids of many short texts: joined by a special token, which the tokenizer splits at first."""
+        if self.between is None:
+            return self._direct(texts)
+        plain = [t for t in texts if MARK not in t]
+        found: list[bytes] = []
+        for a in range(0, len(plain), JOINED):
+            joined = BETWEEN.join(plain[a : a + JOINED])
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+            data, cuts = ids.tobytes(), (np.flatnonzero(ids == self.between) * 4).tolist()
+            found += [data[x:y] for x, y in zip([0, *(c + 4 for c in cuts)], [*cuts, len(data)], strict=True)]
+        if len(plain) == len(texts):
+            return found
+        rest, known = iter(self._direct([t for t in texts if MARK in t])), iter(found)
+        return [next(rest) if MARK in t else next(known) for t in texts]
+
     def _learn(self, cache: dict[str, bytes | None], pieces: set[str], lead: str) -> list[str]:
         """Add unknown pieces to the cache; returns those to forget after the slice."""
         new = list(pieces.difference(cache))
@@ -53,7 +72,7 @@ class PieceEncoder:
             good = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()]
         else:
             good = new
-        cache.update(zip(good, self._direct([lead + p for p in good]), strict=True))
+        cache.update(zip(good, self._pieces([lead + p for p in good]), strict=True))
         room = max(0, CACHE_PIECES - len(cache) + len(new))
         return [p for i, p in enumerate(new) if i >= room or len(p) > CACHE_CHARS]
 
