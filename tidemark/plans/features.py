@@ -370,8 +370,9 @@ def _(spark, sf):
     + """, nodes AS (SELECT sequence, sum(reads) AS size, row_number() OVER (ORDER BY sum(reads) DESC, sequence) AS rank FROM ragged
     GROUP BY sequence), win AS (SELECT rank, substr(sequence, i, n) AS w FROM nodes, range(1, 40) a(i), range(20, 40) b(n) WHERE n <
     length(sequence) AND i + n - 1 <= length(sequence)), links AS (SELECT DISTINCT least(w.rank, n.rank) AS src, greatest(w.rank,
-    n.rank) AS dst FROM win w JOIN nodes n ON n.sequence = w.w UNION SELECT least(a.rank, b.rank), greatest(a.rank, b.rank) FROM nodes a, nodes b, range(20, 40) g(n)
-    WHERE a.rank <> b.rank AND n < length(a.sequence) AND n < length(b.sequence) AND right(a.sequence, n) = left(b.sequence, n)), before AS (SELECT rank, coalesce(list(src) FILTER (src IS NOT NULL),
+    n.rank) AS dst FROM win w JOIN nodes n ON n.sequence = w.w UNION SELECT least(a.rank, b.rank), greatest(a.rank, b.rank) FROM (SELECT rank, right(sequence,
+    n) AS w FROM nodes, range(20, 40) g(n) WHERE n < length(sequence)) a JOIN (SELECT rank, left(sequence, n) AS w FROM nodes,
+    range(20, 40) g(n) WHERE n < length(sequence)) b ON a.w = b.w AND a.rank <> b.rank), before AS (SELECT rank, coalesce(list(src) FILTER (src IS NOT NULL),
     []) AS lower, rank IN (SELECT src FROM links) AS asked FROM nodes LEFT JOIN links ON dst = rank GROUP BY rank), walk(rank, kept,
     root) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]), CAST(0 AS BIGINT) UNION ALL SELECT b.rank, CASE WHEN asked AND
     list_min(list_intersect(lower, kept)) IS NULL THEN list_append(kept, b.rank) ELSE kept END, coalesce(list_min(list_intersect(lower,
