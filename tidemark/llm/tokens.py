@@ -67,9 +67,9 @@ class PieceEncoder:
         """Add unknown pieces to the cache; returns those to forget after the slice."""
         new = list(pieces.difference(cache))
         if self.spaces == "leading":
-            bad = [p for p in new if not p or p[0].isspace() or p[-1].isspace()]
-            cache.update(dict.fromkeys(bad))
-            good = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()]
+            good = [p for p in new if p and p.strip() == p]
+            if len(good) < len(new):  # the others cannot be encoded alone
+                cache.update(dict.fromkeys(set(new).difference(good)))
         else:
             good = new
         cache.update(zip(good, self._pieces([lead + p for p in good]), strict=True))
@@ -96,11 +96,11 @@ class PieceEncoder:
             forget.append((self.known, self._learn(self.known, set().union(*(p[1:] for p in split)), " ")))
             get, out = self.known.__getitem__, []
             for text, pieces in zip(texts, split, strict=True):
-                head, rest = self.first[pieces[0]], list(map(get, pieces[1:]))
-                if head is None and len(pieces) == 1 or head is None or None in rest:
-                    out += self._direct([text]) if text else [b""]
-                else:
-                    out.append(head + b"".join(rest))
+                try:
+                    whole = b"".join((self.first[pieces[0]], *map(get, pieces[1:])))
+                except TypeError:  # a piece that cannot be encoded alone has None
+                    whole = self._direct([text])[0] if text else b""
+                out.append(whole)
         for cache, pieces in forget:
             for piece in pieces:
                 del cache[piece]
