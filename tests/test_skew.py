@@ -63,3 +63,30 @@ def test_median_over_many_partitions(spark):
     values = [r.choice([r.gauss(0, 1), r.randrange(5)]) for _ in range(3001)]
     df = spark.createDataFrame([(v,) for v in map(float, values)], "x double").repartition(7)
     assert skew.exact_median(df, df.x) == statistics.median(values)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _exploded(spark, name, rows=200):
+    """A table whose rows Spark's estimate leaves out: its size counts before ``explode``."""
+    each = F.explode(F.sequence(F.lit(0), F.lit(rows - 1)))
+    return spark.range(0, 3).select(F.col("id").alias("k"), each.alias(name))
+
+
+def test_lookups_do_not_broadcast_exploded_tables(spark, monkeypatch):
+    rows, table = _exploded(spark, "x"), _exploded(spark, "v", 1)
+    for how in ("inner", "left"):
+        assert "Broadcast" not in _plan(skew.lookup_join(rows, table, ["k"], ["x"], how))
+    monkeypatch.setattr(skew, "HOT_ROWS", 10)
+    salted = skew.lookup_join(rows, table, ["k"], ["x"], shares=10, salts=4)
+    assert "SortMergeJoin [k" in _plan(salted) and salted.count() == 600
+
+
+def test_grids_do_not_broadcast_exploded_tables(spark, monkeypatch):
+    left, right = _exploded(spark, "x"), _exploded(spark, "y")
+    assert "Broadcast" not in _plan(skew.grid_join(left, right, ["k"], ["x"], ["y"], F.lit(True)))
+    monkeypatch.setattr(skew, "HOT_ROWS", 10)
+    split = skew.grid_join(left, right, ["k"], ["x"], ["y"], F.col("x") < F.col("y"), shares=10, splits=4)
+    assert "SortMergeJoin [k" in _plan(split) and split.count() == 3 * 199 * 100

@@ -343,5 +343,5 @@ def code_report(vectors: DataFrame, **options: int) -> DataFrame:
     codes, books = code_vectors(vectors, **options)
     keyed = codes.withColumns({"_none": F.col("label").isNull(), "_label": F.coalesce(F.col("label").cast("string"), F.lit(""))})
     per_label = keyed.groupBy("_none", "_label").agg(F.sum("error").alias("label_error"))
-    out = lookup_join(keyed, per_label, ["_none", "_label"], spread=["vec_id", "code"])
+    out = lookup_join(keyed, per_label, ["_none", "_label"], spread=["vec_id", "code"], sort=False)
     return out.select("vec_id", "code", "error", "label_error", F.lit(books_digest(books)).alias("codebooks_sha256"))
