@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from tidemark.operators.edits import FREQUENCY_BITS, hash_pairs, prefix_hashes, window_hashes
-from tidemark.skew import grid_join
+from tidemark.skew import by_sorting, grid_join
 
 #: Word lengths; a sequence uses the longest that fits.
 WORDS = (20, 12, 6, 2, 1)
@@ -90,8 +90,8 @@ def containments(inner: DataFrame, outer: DataFrame, scope: Sequence[str] = ())
     asked = _offered(inner, [*scope, "id"], sizes, _word_classes(outer, sizes)).withColumnRenamed("id", "inner")
     offered = _offered(outer, [*scope, "id"], sizes, None).withColumnRenamed("id", "outer")
     met = grid_join(asked, offered, [*scope, "q", "w"], ["inner"], ["outer"], F.lit(True)).select("inner", "outer")
-    both = met.join(inner.select(F.col("id").alias("inner"), F.col("sequence").alias("_i")), "inner").join(
-        outer.select(F.col("id").alias("outer"), F.col("sequence").alias("_o")), "outer"
+    both = met.join(by_sorting(inner.select(F.col("id").alias("inner"), F.col("sequence").alias("_i"))), "inner").join(
+        by_sorting(outer.select(F.col("id").alias("outer"), F.col("sequence").alias("_o"))), "outer"
     )
     return both.where(F.contains("_o", "_i")).select("inner", "outer")
 
