@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from tidemark.functions.sequences import reverse_complement_text
+from tidemark.operators import spike_in
 from tidemark.operators.spike_in import apart, without_genome
 
 SCHEMA = "n int, r1_seq string, r2_seq string, _id int"
@@ -59,3 +60,17 @@ def test_large_genome_and_mutated_reads(spark):
 def test_no_genome(spark):
     pairs = spark.createDataFrame([(1, "ACGT" * 9, "ACGT")], "n int, r1_seq string, r2_seq string")
     assert without_genome(pairs, "").count() == 1
+
+
+def test_mates_are_joined_in_pieces(monkeypatch):
+    """A numpy call a read took most of the time; now one call takes some 2^20 bytes of reads."""
+    monkeypatch.setattr(spike_in, "CHUNK", 10)
+    texts = ["ACGT", None, "", "G" * 30, "AÄC", "TTT"]
+    pieces = list(spike_in.joined_texts(texts))
+    assert len(pieces) < len(texts) and [p[0] for p in pieces] == sorted({p[0] for p in pieces})
+    found = []
+    for first, starts, text in pieces:
+        data = text.encode()
+        ends = [*starts[1:].tolist(), len(data) + 1]
+        found += [data[a : b - 1].decode() for a, b in zip(starts.tolist(), ends, strict=True)]
+    assert found == [t or "" for t in texts]

@@ -55,6 +55,23 @@ def apart(places: np.ndarray, word: int) -> int:
     return count
 
 
+def joined_texts(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, str]]:
+    """The texts in joined pieces of some ``CHUNK`` bytes: number of the first, starts in bytes, and the piece.
+
+    A line end stands between two texts, so no word runs over it.
+    """
+    first = 0
+    while first < len(texts):
+        last, size = first, 0
+        while last < len(texts) and (last == first or size < CHUNK):
+            size += len(texts[last] or "") + 1
+            last += 1
+        own = [t or "" for t in texts[first:last]]
+        sizes = np.array([len(t) if t.isascii() else len(t.encode()) for t in own])
+        yield first, np.concatenate(([0], np.cumsum(sizes[:-1] + 1))), "\n".join(own)
+        first = last
+
+
 def genome_table(spark: SparkSession, genome: str | DataFrame, word: int) -> DataFrame:
     """``(number)``: the distinct words of a genome, a text or a table with ``sequence``, on both strands."""
     if isinstance(genome, str):
@@ -104,11 +121,14 @@ def without_genome(pairs: DataFrame, genome: str | DataFrame, word: int = 16, mi
         for batch in batches:
             marked = np.zeros(len(batch), bool)
             for m in mates:
-                for k, text in enumerate(batch.column(m).to_pylist()):
-                    place, number = word_numbers(text or "", word)
+                for first, starts, text in joined_texts(batch.column(m).to_pylist()):
+                    place, number = word_numbers(text, word)
                     at = _bucket(number)
-                    hit = (table[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)) != 0
-                    marked[k] |= int(hit.sum()) >= min_hits and apart(place[hit], word) >= min_hits
+                    place = place[(table[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)) != 0]
+                    row = np.searchsorted(starts, place, side="right") - 1
+                    for k in np.flatnonzero(np.bincount(row, minlength=len(starts)) >= min_hits).tolist():
+                        own = slice(*np.searchsorted(row, (k, k + 1)))
+                        marked[first + k] |= min_hits <= 1 or apart(place[own], word) >= min_hits
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marked)], [*columns, "_suspect"])
 
     schema = StructType([*pairs.schema.fields, StructField("_suspect", BooleanType())])
