@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from tidemark.operators import classify, denoise, overlaps
@@ -97,3 +98,15 @@ def test_exact_species(spark):
         names = {b for a, b, t in refs if a == g and b and g and s.upper() in t}
         assert found[s, g] == ("/".join(sorted(names)) or None)
     assert got.count() == len(taxa)
+
+
+def test_words_of_many_texts_at_once():
+    """One call per length of texts finds the words that a call per text finds."""
+    texts = ragged(5, 4, 6, short=9) + [None, "", "AÄC"]
+    for q in (0, 1, 6):
+        got = {}
+        for own, codes in overlaps._by_length(texts, q):
+            words, fresh = overlaps._sorted_words(codes, q)
+            got |= {i: words[k][fresh[k]].tolist() for k, i in enumerate(own.tolist())}
+        size = lambda t: len(t.encode())
+        assert got == {i: np.unique(overlaps.window_hashes(t.encode(), q)).tolist() for i, t in enumerate(texts) if t is not None and size(t) >= q}

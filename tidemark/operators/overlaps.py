@@ -27,8 +27,28 @@ def _word_of(length: int) -> int:
     return next((w for w in WORDS if w <= length), 0)
 
 
+def _by_length(texts: list[str | None], least: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Texts of one length of bytes at a time, as their numbers and a row of codes each."""
+    data = [b"" if t is None else t.encode() for t in texts]
+    sizes = np.array([-1 if t is None else len(d) for t, d in zip(texts, data, strict=True)], np.int64)
+    for size in np.unique(sizes[sizes >= least]).tolist():
+        at = np.flatnonzero(sizes == size)
+        step = max(1, (1 << 20) // (size + 1))
+        for a in range(0, len(at), step):
+            own = at[a : a + step]
+            yield own, np.frombuffer(b"".join(data[i] for i in own), np.uint8).reshape(len(own), size)
+
+
+def _sorted_words(codes: np.ndarray, q: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of each row in order, and which are the first of equal ones."""
+    words = np.sort(window_hashes(codes, q), axis=1)
+    fresh = np.ones(words.shape, bool)
+    fresh[:, 1:] = words[:, 1:] != words[:, :-1]
+    return words, fresh
+
+
 def _sizes_in_use(inner: DataFrame) -> list[int]:
-    cases = F.coalesce(*[F.when(F.length("sequence") >= w, F.lit(w)) for w in WORDS], F.lit(0))
+    cases = F.coalesce(*[F.when(F.octet_length("sequence") >= w, F.lit(w)) for w in WORDS], F.lit(0))
     return sorted(r[0] for r in inner.select(cases.alias("w")).distinct().collect())  # at most one row per word length
 
 
@@ -38,10 +58,11 @@ def _word_classes(outer: DataFrame, sizes: Sequence[int]) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << FREQUENCY_BITS, np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for _, codes in _by_length(batch.column(0).to_pylist()):
                 for q in sizes:
-                    if text is not None and len(text) >= q:
-                        np.add.at(total, (np.unique(window_hashes(text.encode(), q)) >> _SHIFT).astype(np.int64), 1)
+                    if codes.shape[1] >= q:
+                        words, fresh = _sorted_words(codes, q)
+                        total += np.bincount((words[fresh] >> _SHIFT).astype(np.int64), minlength=len(total))
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], ["c", "n"])
 
@@ -59,18 +80,17 @@ def _offered(df: DataFrame, keep: list[str], sizes: Sequence[int], classes: np.n
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             who, size, word = [], [], []
-            for i, text in enumerate(batch.column(len(keep)).to_pylist()):
-                if text is None:
-                    continue
-                for q in sizes if shared is None else [_word_of(len(text))]:
-                    if len(text) < q:
+            for own, codes in _by_length(batch.column(len(keep)).to_pylist()):
+                for q in sizes if shared is None else [_word_of(codes.shape[1])]:
+                    if codes.shape[1] < q:
                         continue
-                    w = np.unique(window_hashes(text.encode(), q))
+                    words, use = _sorted_words(codes, q)
                     if shared is not None:
-                        w = w[np.argmin(shared.value[(w >> _SHIFT).astype(np.int64)])][None]
-                    who.append(np.full(len(w), i))
-                    size.append(np.full(len(w), q, np.int32))
-                    word.append(w.astype(np.int64))
+                        rarest = np.argmin(shared.value[(words >> _SHIFT).astype(np.int64)], axis=1)
+                        use = np.arange(words.shape[1]) == rarest[:, None]
+                    who.append(own[np.nonzero(use)[0]])
+                    size.append(np.full(len(who[-1]), q, np.int32))
+                    word.append(words[use].astype(np.int64))
             if who:
                 taken = batch.select(keep).take(pa.array(np.concatenate(who)))
                 added = [pa.array(np.concatenate(v)) for v in (size, word)]
