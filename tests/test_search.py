@@ -115,6 +115,29 @@ def test_best_alignment_through_a_run_equals_the_local_optimum(task, word):
         assert 1 <= out["qstart"][k] <= out["qend"][k] <= len(q) and 1 <= out["sstart"][k] <= out["send"][k] <= len(t)
 
 
+@pytest.mark.parametrize("task", ["megablast", "blastn"])
+def test_pairs_that_cannot_be_hits_are_not_aligned(task, monkeypatch):
+    r, scheme, word = random.Random(8), search.SCHEMES[task], 12
+    pairs = []
+    while len(pairs) < 300:  # a shared half and a random one, as within a genus; every third is near, some are long
+        q = dna(r, r.randrange(40, 90) if len(pairs) % 20 else 2500)
+        t = edited(r, q, r.randrange(8)) if len(pairs) % 3 == 0 else q[: len(q) // 2] + dna(r, len(q) // 2)
+        if runs_of(q[:90], t[:90], word):
+            pairs.append((q, t))
+    texts = [q for q, _ in pairs], [t for _, t in pairs], [runs_of(q[:90], t[:90], word) for q, t in pairs]
+    whole = extension.best_alignments(*texts, 80.0, scheme)
+    least = np.array([1.3 * len(q) * scheme.match / 2 for q, _ in pairs])
+    covered = 100.0 * (whole["qend"] - whole["qstart"] + 1) / np.array([len(q) for q, _ in pairs])
+    good = (whole["half_score"] >= least) & (covered >= 80)
+    aligned, real = [], extension.extend
+    monkeypatch.setattr(extension, "extend", lambda a, *rest: aligned.append(len(a)) or real(a, *rest))
+    found = extension.best_alignments(*texts, 80.0, scheme, least, 80.0)
+    assert 50 < good.sum() < 150 and sum(aligned) == 2 * good.sum()
+    for name, values in whole.items():
+        assert (found[name][good] == values[good]).all()
+    assert (found["pident"][~good] == -1).all()
+
+
 def traced(q, r, scheme):
     """(identity, query cover) of a best local alignment by a plain table with trace back."""
     n, m = len(q), len(r)

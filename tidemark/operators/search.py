@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.sequences import reverse_complement
 from tidemark.operators.extension import Scheme, best_alignments
 from tidemark.operators.taxonomy import best_hits
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, spread_small_scan
 from tidemark.skew import grid_join, lookup_join
 
 # Seed word length of each search task, its scores in half points (match, mismatch, opening a
@@ -32,17 +32,25 @@ ALIGNMENT = (
 )
 
 
-def align_runs(query: Column | str, reference: Column | str, runs: Column, identity: float, task: str) -> Column:
-    """Best alignment of each row's two sequences through one of its exact runs, as a struct."""
+def align_runs(
+    query: Column | str, reference: Column | str, runs: Column, identity: float, task: str,
+    least: Column | None = None, coverage: float = 0.0,
+) -> Column:
+    """Best alignment of each row's two sequences through one of its exact runs, as a struct.
+
+    Rows below ``least`` half points or ``coverage`` percent of the query have identity -1.
+    """
     scheme = SCHEMES[task]
 
     @F.pandas_udf(ALIGNMENT)
-    def run(q: pd.Series, r: pd.Series, qp: pd.Series, rp: pd.Series) -> pd.DataFrame:
+    def run(q: pd.Series, r: pd.Series, qp: pd.Series, rp: pd.Series, floor: pd.Series) -> pd.DataFrame:
         places = [list(zip(x.tolist(), y.tolist(), strict=True)) for x, y in zip(qp, rp, strict=True)]
-        done = pd.DataFrame(best_alignments(q.tolist(), r.tolist(), places, identity, scheme))
+        done = pd.DataFrame(best_alignments(q.tolist(), r.tolist(), places, identity, scheme, floor, coverage))
         return done.astype({c: "float64" if c == "pident" else "int32" for c in done.columns})
 
-    return run.asNondeterministic()(query, reference, runs["qp"], runs["rp"])  # evaluated once, not again per filter
+    floor = F.lit(float("-inf")) if least is None else least
+    # evaluated once, not again per filter
+    return run.asNondeterministic()(query, reference, runs["qp"], runs["rp"], floor)
 
 
 def seed_words(df: DataFrame, word: int) -> DataFrame:
@@ -95,8 +103,9 @@ def similarity_search(
     """
     if task not in TASK_WORDS:
         raise ValueError(f"task is one of {sorted(TASK_WORDS)}; got {task!r}")
-    q = queries.select("qseqid", F.upper("sequence").alias("sequence"))
-    r = references.select("sseqid", F.upper("sequence").alias("sequence"))
+    # words are heavy per row
+    q = spread_small_scan(queries.select("qseqid", F.upper("sequence").alias("sequence")))
+    r = spread_small_scan(references.select("sseqid", F.upper("sequence").alias("sequence")))
     pairs = cut_lineage(candidate_pairs(q, r, TASK_WORDS[task]))
     with_q = lookup_join(pairs, q.withColumnRenamed("sequence", "_q"), ["qseqid"], spread=["sseqid"])
     full = lookup_join(with_q, r.withColumnRenamed("sequence", "_r"), ["sseqid"], spread=["qseqid"])
@@ -105,10 +114,15 @@ def similarity_search(
     # alignment is heavy per row: spread the pairs over all cores, however few bytes they are
     spark = queries.sparkSession
     tasks = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    scored = full.repartition(tasks).withColumn("_a", align_runs(oriented, "_r", F.col("runs"), perc_identity, task))
     scheme = SCHEMES[task]
-    bits = (F.lit(scheme.scale) * F.col("_a.half_score") / 2 - F.lit(math.log(scheme.constant))) / F.lit(math.log(2))
     n = F.length("_q")
+    least = None
+    if evalue > 0:  # the score that the bound on chance hits asks for, less one for rounding
+        asked = F.log(n * db_size / F.lit(float(evalue))) + F.lit(math.log(scheme.constant))
+        least = asked * 2 / F.lit(scheme.scale) - 1
+    alignment = align_runs(oriented, "_r", F.col("runs"), perc_identity, task, least, qcov)
+    scored = full.repartition(tasks).withColumn("_a", alignment).where("_a.pident >= 0")
+    bits = (F.lit(scheme.scale) * F.col("_a.half_score") / 2 - F.lit(math.log(scheme.constant))) / F.lit(math.log(2))
     hits = scored.select(
         "qseqid",
         "sseqid",
