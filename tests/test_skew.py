@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import skew
+from tidemark.operators.darwincore import enrich_higher_ranks
 
 
 def test_numbers_are_dense_and_ordered(spark):
@@ -90,3 +91,23 @@ def test_grids_do_not_broadcast_exploded_tables(spark, monkeypatch):
     monkeypatch.setattr(skew, "HOT_ROWS", 10)
     split = skew.grid_join(left, right, ["k"], ["x"], ["y"], F.col("x") < F.col("y"), shares=10, splits=4)
     assert "SortMergeJoin [k" in _plan(split) and split.count() == 3 * 199 * 100
+
+
+def test_rows_of_a_frequent_name_go_to_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_ROWS", 100)
+    name = F.when(F.col("id") % 3 == 0, F.concat(F.lit("n"), F.col("id"))).otherwise(F.lit("usual"))
+    blank = [F.lit("").alias(c) for c in ("class", "phylum", "kingdom")]
+    rows = spark.range(0, 3000).select(name.alias("scientificName"), "id", *blank)
+    columns = "name string, class string, phylum string, kingdom string"
+    first = spark.createDataFrame([("n0", "C0", "P0", "K0"), ("", "x", "x", "x")], columns)
+    second = spark.createDataFrame([("n0", "-", "-", "-"), ("usual", "C1", None, "K1")], columns)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = enrich_higher_ranks(rows, first, second).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    known = {"n0": ("C0", "P0", "K0"), "usual": ("C1", "", "K1")}
+    assert len(got) == 3000
+    assert all((r["class"], r.phylum, r.kingdom) == known.get(r.scientificName, ("", "", "")) for r in got)
+    assert len({r.task for r in got if r.scientificName == "usual"}) > 1
