@@ -10,9 +10,9 @@ from hypothesis import given, settings, strategies as st
 from public_tokenizers import path
 from tokenizers import Tokenizer
 
-from tidemark.llm import packing, token_blocks
+from tidemark.llm import packing, token_blocks, tokens
 from tidemark.llm.queries import BYTE_BPE, QUERIES, WORD_BPE
-from tidemark.llm.tokens import PieceEncoder
+from tidemark.llm.tokens import PLAIN, PieceEncoder
 
 SMALL = "/root/testdata/sf0.001"
 ODD = [
@@ -43,6 +43,38 @@ def test_cut_texts_give_the_ids_of_whole_texts(name, spaces):
     check()
 
 
+def test_plain_texts_give_the_ids_of_whole_texts():
+    encoder = PieceEncoder(path("word_bpe_49k.json"), "dropped")
+    whole = lambda t: array("I", encoder.tokenizer.encode(t, add_special_tokens=False).ids).tobytes()
+    parts = st.sampled_from([*map(chr, range(1, 0x17F)), *"abcdeTS'....,,,\n\n\n   ", "'LL", "'re", "<|", "<|ENDOFTEXT|>", "</w>", "w>"])
+
+    @settings(max_examples=500, deadline=None)
+    @given(st.lists(parts, max_size=30).map("".join))
+    def check(text):
+        plain = "".join(c for c in text if PLAIN.fullmatch(c))
+        assert encoder.encode([plain, text]) == [whole(plain), whole(text)]
+
+    check()
+    for c in map(chr, range(0x250)):  # every character between words and marks
+        texts = [f"a{c}b", f" {c},", f"'{c}s", f"É{c}{c}", c]
+        assert encoder.encode(texts) == [whole(t) for t in texts]
+
+
+def test_words_are_encoded_once_whatever_case_and_marks():
+    encoder = PieceEncoder(path("word_bpe_49k.json"), "dropped")
+    encoder.encode(["Été, été. (ÉTÉ)\nété\tété!", "Été: 2 été's"])
+    assert set(encoder.known) == {"été", "'s", "2", *",.()!:"}
+
+
+def test_words_beyond_the_cache_are_forgotten(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 3)
+    encoder = PieceEncoder(path("word_bpe_49k.json"), "dropped")
+    texts = [f"one two. three, four {'x' * 60} {i}{' 日 本' * (i % 2)}" for i in range(50)]
+    for _ in range(2):
+        assert encoder.encode(texts) == [array("I", encoder.tokenizer.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
+        assert len(encoder.known) <= 3
+
+
 @pytest.mark.parametrize("planes", ["byte", "bit"])
 @pytest.mark.parametrize("n", [0, 1, 7, 1000])
 def test_planes_round_trip(planes, n):
