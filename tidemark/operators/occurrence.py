@@ -78,15 +78,19 @@ def reserved_sample_names(samples: DataFrame, reserved: Sequence[str] = OTU_TABL
     return samples.select("sample").distinct().where(F.col("sample").isin(*reserved))
 
 
-def melt_counts(wide: DataFrame, ids: Sequence[str], samples: Sequence[str]) -> DataFrame:
-    """Wide to long: one row per feature and sample, of sample columns or of a packed column."""
+def melt_counts(wide: DataFrame, ids: Sequence[str], samples: Sequence[str], zeros: bool = True) -> DataFrame:
+    """Wide to long: one row per feature and sample, of sample columns or of a packed column.
+
+    For a caller that keeps no zeros, as :func:`nonzero` does, those that a packed column does not hold need not be
+    filled in: without ``zeros`` the cells it holds are melted as they are.
+    """
     if not samples:
         raise ValueError("no numeric per-sample column to melt")
     if PACKED in wide.columns:
         names = packed_samples(wide)
         wanted = set(samples)
         listed = sample_positions(wide.sparkSession, [(i, n) for i, n in enumerate(names) if n in wanted], "_at int, eventID string")
-        cells = wide.select(*[F.col(f"`{c}`") for c in ids], F.posexplode(zero_filled(len(names))).alias("_at", "nb_reads"))
+        cells = wide.select(*[F.col(f"`{c}`") for c in ids], *_placed(len(names), zeros))
         return cells.join(listed, "_at").select(*[F.col(f"`{c}`") for c in ids], "eventID", "nb_reads")
     typed = wide.select(
         *[F.col(f"`{c}`") for c in ids], *[F.col(f"`{s}`").cast("long").alias(s) for s in samples]
@@ -96,6 +100,13 @@ def melt_counts(wide: DataFrame, ids: Sequence[str], samples: Sequence[str]) ->
     )
 
 
+def _placed(size: int, zeros: bool) -> list[Column]:
+    """``_at, nb_reads`` of the cells of a packed column, one row each."""
+    if zeros:
+        return [F.posexplode(zero_filled(size)).alias("_at", "nb_reads")]
+    return [F.inline(PACKED).alias("_at", "nb_reads")]
+
+
 def sample_positions(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
     """Places of the samples, one row per sample."""
     return spark.createDataFrame(list(rows), schema)

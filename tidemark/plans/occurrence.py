@@ -482,4 +482,4 @@ def _(spark, sf):
     names = [r[0] for r in rows.select("eventID").distinct().orderBy("eventID").collect()]  # the columns of a wide sink
     wide = oc.spread_counts(rows, ["sequence"], names)
     samples = oc.sample_columns(wide, (*RANKS, "sequence"))
-    return oc.nonzero(oc.melt_counts(wide, ["sequence"], samples))
+    return oc.nonzero(oc.melt_counts(wide, ["sequence"], samples, zeros=False))
