@@ -63,3 +63,25 @@ def test_matrix_queries_with_repeated_event_ids(spark, tmp_path):
     assert sums == {"DAR-2025-0002": 3, "DAR-2025-0003": 0, "DAR-2025-1234": 15, "Blank-PCR-12350": 0}
     ids = {r.asv_id for r in catalog()["w4_number_features"].run(spark, str(tmp_path)).collect()}
     assert ids == {f"OTU_{k}" for k in range(1, 5)}
+
+
+def test_melted_cells_without_zeros(spark):
+    """A table of many samples was melted with all its zeros, which were dropped afterwards."""
+    names = [f"s{i}" for i in range(500)]
+    long = spark.createDataFrame([("a", "s3", 5), ("a", "s499", -2), ("b", "s0", 1), ("c", "s1", 0)], "id string, eventID string, nb_reads long")
+    wide = oc.spread_counts(long, ["id"], names)
+    some = oc.melt_counts(wide, ["id"], names, zeros=False)
+    assert sorted((r.id, r.eventID, r.nb_reads) for r in some.collect()) == [("a", "s3", 5), ("a", "s499", -2), ("b", "s0", 1)]
+    full = oc.melt_counts(wide, ["id"], names)
+    assert full.count() == 1500
+    kept = [sorted(map(tuple, oc.nonzero(df).collect())) for df in (some, full)]
+    assert kept[0] == kept[1] == [("a", "s3", 5), ("b", "s0", 1)]
+
+
+def test_header_is_read_apart_from_the_lines(spark, tmp_path):
+    """A filter on the header, which a join adds, was evaluated for every line of the scan."""
+    (tmp_path / "m.csv").write_text("sequence,S1,S2\nAC,1,2\nGT,0,3\n")
+    rows = tables.read_matrix_sequences(spark, str(tmp_path))
+    assert sorted((r.row_no, r.sequence) for r in rows.collect()) == [(1, "AC"), (2, "GT")]
+    scans = [x for x in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "sha2" in x or "to_json" in x]
+    assert not scans
