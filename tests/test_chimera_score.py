@@ -116,3 +116,24 @@ def test_registered_query_equals_brute_force(spark):
     want = brute([(r.amplicon, r.sequence, r.size) for r in got])
     assert {r.amplicon: r.chimera for r in got} == {k: v[0] for k, v in want.items()}
     assert sum(r.chimera == "Y" for r in got) >= 20
+
+
+@pytest.mark.parametrize("fold, least", [(2.0, 1), (2.0, 30), (0.5, 1)])
+def test_owners_are_found_without_a_join(spark, fold, least):
+    """Runs used to be stored, sorted for their owners and once more for a join with these."""
+    rng = random.Random(3)
+    parts = ["".join(rng.choices("ACGT", k=12)) for _ in range(4)]
+    texts = sorted({"".join(rng.choices(parts, k=2)) + "".join(rng.choices("ACGT", k=6)) for _ in range(25)})
+    rows = [(k, text, rng.choice([5, 10, 20, 40, 40])) for k, text in enumerate(texts)]
+    df = spark.createDataFrame(rows, "amplicon long, sequence string, size long")
+    got = cs.nearest_parents(df, fold, least)
+    holders = {}
+    for r in cs.segment_runs(df).collect():
+        holders.setdefault(r.k, []).append((-r["size"], r.amplicon))
+    want = set()
+    for each in holders.values():
+        owners = sorted(x for x in each if -x[0] >= least)[:2]
+        want |= {(a, p) for size, a in each for n, p in owners if p != a and -n >= -size * fold}
+    assert want and {tuple(r) for r in got.collect()} == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "ExistingRDD" not in plan.replace("Scan ExistingRDD[amplicon", "")
